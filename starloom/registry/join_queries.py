@@ -100,21 +100,17 @@ def product_key_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """with k as (select unnest(['customer_key', 'currency_key', 'sales_territory_key', 'product_key',
-                                 'promotion_key', 'order_date_key', 'due_date_key', 'ship_date_key']) as lookup),
-            n as (select count(*) as total_rows, count(customer_key) as c1, count(currency_key) as c2,
-                         count(sales_territory_key) as c3, count(product_key) as c4, count(promotion_key) as c5,
-                         count(order_date_key) as c6, count(due_date_key) as c7, count(ship_date_key) as c8
-                  from f_internet),
-            m as (select lookup, total_rows, case lookup when 'customer_key' then c1 when 'currency_key' then c2
-                         when 'sales_territory_key' then c3 when 'product_key' then c4 when 'promotion_key' then c5
-                         when 'order_date_key' then c6 when 'due_date_key' then c7 else c8 end as matched
-                  from k, n)
-       select lookup, total_rows, matched, total_rows - matched as unmatched,
+    """select lookup, total_rows, matched, total_rows - matched as unmatched,
               matched * 100.0::double / total_rows as match_percent,
               case when matched = 0 then 'error' when total_rows - matched > total_rows * 0.1 then 'warning'
                    else 'ok' end as severity
-       from m"""
+       from (unpivot (select count(*) as total_rows, count(customer_key) as customer_key,
+                             count(currency_key) as currency_key, count(sales_territory_key) as sales_territory_key,
+                             count(product_key) as product_key, count(promotion_key) as promotion_key,
+                             count(order_date_key) as order_date_key, count(due_date_key) as due_date_key,
+                             count(ship_date_key) as ship_date_key from f_internet)
+             on customer_key, currency_key, sales_territory_key, product_key, promotion_key, order_date_key,
+                due_date_key, ship_date_key into name lookup value matched)"""
 )
 def lookup_statistics(spark: SparkSession, folder: str) -> DataFrame:
     """Match statistics of every lookup of the internet fact, in one pass."""
