@@ -66,10 +66,10 @@ def uniqueness_report(df: DataFrame, table: str, key_sets: Sequence[Sequence[str
         incomplete = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
         reports.append(
             df.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.count(F.lit(1)).alias("_rows"))
             .agg(
-                F.coalesce(F.sum(F.when(~incomplete, F.col("n") - 1)), F.lit(0)).alias("surplus_rows"),
-                F.coalesce(F.sum(F.when(incomplete, F.col("n"))), F.lit(0)).alias("null_rows"),
+                F.coalesce(F.sum(F.when(~incomplete, F.col("_rows") - 1)), F.lit(0)).alias("surplus_rows"),
+                F.coalesce(F.sum(F.when(incomplete, F.col("_rows"))), F.lit(0)).alias("null_rows"),
             )
             .select(F.lit(table).alias("table_name"), F.lit(",".join(keys)).alias("key"), "surplus_rows", "null_rows")
         )

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _need(df: DataFrame, columns: Sequence[str], what: str) -> None:
@@ -14,6 +15,10 @@ def _need(df: DataFrame, columns: Sequence[str], what: str) -> None:
         raise KeyError(f"{what} lacks {missing}; it has {df.columns}")
 
 
+def _alike(left: T.DataType, right: T.DataType) -> bool:
+    return left == right or (isinstance(left, T.IntegralType) and isinstance(right, T.IntegralType))
+
+
 def key_map(dim: DataFrame, alternate_key: str, surrogate_key: str) -> DataFrame:
     """Alternate key -> surrogate key; a duplicated alternate key keeps its lowest key.
 
@@ -35,8 +40,8 @@ def lookup_key(
 ) -> DataFrame:
     """Left join that adds ``surrogate_key`` and drops the alternate key.
 
-    Row count never changes.  Null business keys never match.  Keys of unlike
-    types are compared as text.
+    Row count never changes.  Null business keys never match.  Whole numbers
+    compare as numbers; keys of unlike types compare as text.
     """
     _need(df, [left_key], "input")
     _need(dim, [alternate_key, surrogate_key], "dimension")
@@ -44,7 +49,7 @@ def lookup_key(
         raise ValueError(f"input already has {surrogate_key}")
     keys = key_map(dim, alternate_key, surrogate_key).withColumnRenamed(alternate_key, "_alternate")
     left, right = F.col(left_key), F.col("_alternate")
-    if df.schema[left_key].dataType != keys.schema["_alternate"].dataType:
+    if not _alike(df.schema[left_key].dataType, dim.schema[alternate_key].dataType):
         left, right = left.cast("string"), right.cast("string")
     return df.join(keys, left == right, "left").drop("_alternate", alternate_key)
 
@@ -131,10 +136,10 @@ def validated_join(
     on = list(on)
     for side, frame in (("left", left), ("right", right)):
         if side in _UNIQUE_SIDES[validate]:
-            repeated = frame.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+            repeated = frame.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
             example = repeated.first()
             if example is not None:
-                raise ValueError(f"{side} side repeats key {example.asDict()}, join is not {validate}")
+                raise ValueError(f"{side} side repeats {on} = {list(example)[:-1]}, join is not {validate}")
     return left.join(right, on, how)
 
 

@@ -20,14 +20,17 @@ def assign_keys(df: DataFrame, key: str, order_by: Sequence[str], start: int = 1
     partitioned and sorted, then written once with their partition and position.
     Every partition's first key follows from the row counts of the partitions
     before it, one number per partition.  The written table freezes positions,
-    so a lost executor cannot renumber rows.  Order by enough columns to tell
-    rows apart: range partitioning splits a hot leading value on the rest.
+    so a lost executor cannot renumber rows.  A hash of the whole row breaks
+    ties, which also splits a hot value of ``order_by`` over partitions.
     """
+    order = [F.col(c).asc_nulls_first() for c in order_by]
     placed = (
-        df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order_by])
-        .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order_by])
+        df.withColumn("_tie", F.xxhash64(*df.columns))
+        .repartitionByRange(*order, "_tie")
+        .sortWithinPartitions(*order, "_tie")
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND((1 << _POSITION_BITS) - 1))
+        .drop("_tie")
     )
     written = write_through(placed, f"keys-{key}")
     sizes = {r["_part"]: r["n"] for r in written.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}

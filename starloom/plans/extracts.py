@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import business_type
 from ..functions.xml_fields import PERSON_SURVEY, STORE_SURVEY, xml_fields
+from ..operators.dedupe import keep_first
 from ..operators.history import current_rows, latest_rows, preferred_text
 from ..sources.tables import Source
 
@@ -104,6 +105,8 @@ ORDER_DETAIL = {
     "UnitPriceDiscount": "unit_price_discount_pct",
     "CarrierTrackingNumber": "carrier_tracking_number",
 }
+# "First" row of a reseller: columns in this order, nulls first.
+RESELLER_ORDER = ["phone", *ADDRESS.values()]
 NO_DESCRIPTION = "No description available"
 DEFAULT_CURRENCY = "USD"
 
@@ -166,20 +169,24 @@ def extract_dim_geography(source: Source) -> DataFrame:
     )
 
 
+def _emails(source: Source) -> DataFrame:
+    rows = source.table("Person.EmailAddress").groupBy("BusinessEntityID")
+    return rows.agg(F.max("EmailAddress").alias("email_address"))
+
+
+def _phones(source: Source) -> DataFrame:
+    rows = source.table("Person.PersonPhone").groupBy("BusinessEntityID")
+    return rows.agg(F.max("PhoneNumber").alias("phone"))
+
+
 def person_contacts(source: Source) -> DataFrame:
     """Greatest e-mail and phone per person.
 
     Each table collapses to one row per person before the join, so several
     e-mails and several phones never multiply each other.
     """
-    emails = source.table("Person.EmailAddress").groupBy("BusinessEntityID").agg(
-        F.max("EmailAddress").alias("email_address")
-    )
-    phones = source.table("Person.PersonPhone").groupBy("BusinessEntityID").agg(
-        F.max("PhoneNumber").alias("phone")
-    )
     people = source.table("Person.Person").select("BusinessEntityID")
-    return people.join(emails, "BusinessEntityID", "left").join(phones, "BusinessEntityID", "left")
+    return people.join(_emails(source), "BusinessEntityID", "left").join(_phones(source), "BusinessEntityID", "left")
 
 
 def entity_addresses(source: Source, whole_address: bool = False) -> DataFrame:
@@ -210,20 +217,24 @@ def addresses(source: Source) -> DataFrame:
 
 
 def extract_dim_customer(source: Source) -> DataFrame:
-    """People who are customers, with contact, address and survey fields."""
+    """People who are customers, with contact, address and survey fields.
+
+    Survey documents are parsed where they are read, so the joins move the few
+    fields instead of the documents; every join is on the person.
+    """
     customers = (
         source.table("Sales.Customer")
         .where(F.col("PersonID").isNotNull())
         .select(F.col("CustomerID").alias("customer_alternate_key"), F.col("PersonID").alias("BusinessEntityID"))
     )
     people = source.table("Person.Person").select("BusinessEntityID", *_renamed(PERSON_NAME), "Demographics")
-    joined = (
-        customers.join(people, "BusinessEntityID")
-        .join(person_contacts(source), "BusinessEntityID", "left")
+    return (
+        customers.join(xml_fields(people, "Demographics", PERSON_SURVEY), "BusinessEntityID")
+        .join(_emails(source), "BusinessEntityID", "left")
+        .join(_phones(source), "BusinessEntityID", "left")
         .join(entity_addresses(source), "BusinessEntityID", "left")
         .drop("BusinessEntityID")
     )
-    return xml_fields(joined, "Demographics", PERSON_SURVEY)
 
 
 def model_descriptions(source: Source) -> DataFrame:
@@ -252,27 +263,58 @@ def extract_dim_product(source: Source) -> DataFrame:
     )
 
 
-def extract_dim_reseller(source: Source) -> DataFrame:
-    """Stores with address, contact phones and survey fields.
-
-    A store with several addresses or contacts appears several times; the
-    dimension keeps the first.
-    """
+def _stores(source: Source) -> DataFrame:
     stores = (
         source.table("Sales.Store")
         .where(F.col("BusinessEntityID").isNotNull())
         .select("BusinessEntityID", F.col("Name").alias("reseller_name"), "Demographics")
     )
     surveyed = xml_fields(stores, "Demographics", STORE_SURVEY)
+    return surveyed.withColumn("business_type", business_type(F.col("business_code"))).drop("business_code")
+
+
+def _store_addresses(source: Source) -> DataFrame:
     links = source.table("Person.BusinessEntityAddress").select("BusinessEntityID", "AddressID")
-    phones = source.table("Sales.vStoreWithContacts").select("BusinessEntityID", F.col("PhoneNumber").alias("phone"))
+    return links.join(addresses(source), "AddressID", "left").drop("AddressID")
+
+
+def _store_phones(source: Source) -> DataFrame:
+    return source.table("Sales.vStoreWithContacts").select("BusinessEntityID", F.col("PhoneNumber").alias("phone"))
+
+
+def extract_dim_reseller(source: Source) -> DataFrame:
+    """Stores with address, contact phones and survey fields.
+
+    A store with several addresses or contacts appears once per pair of them;
+    the dimension keeps the first.  :func:`first_resellers` gives that first row
+    without making the pairs.
+    """
     return (
-        surveyed.join(links, "BusinessEntityID", "left")
-        .join(addresses(source), "AddressID", "left")
+        _stores(source)
+        .join(_store_addresses(source), "BusinessEntityID", "left")
+        .join(_store_phones(source), "BusinessEntityID", "left")
+        .withColumnRenamed("BusinessEntityID", "reseller_alternate_key")
+    )
+
+
+def first_resellers(source: Source) -> DataFrame:
+    """The first row per store of :func:`extract_dim_reseller` in ``RESELLER_ORDER``.
+
+    The first pair of phone and address is the first phone with the first
+    address, so each side is reduced to one row per store before the join.
+    """
+    phones = (
+        _store_phones(source)
+        .groupBy("BusinessEntityID")
+        .agg(F.min("phone").alias("least"), F.count_if(F.col("phone").isNull()).alias("unnamed"))
+        .select("BusinessEntityID", F.when(F.col("unnamed") == 0, F.col("least")).alias("phone"))
+    )
+    places = keep_first(_store_addresses(source), ["BusinessEntityID"], [c for c in RESELLER_ORDER if c != "phone"])
+    return (
+        _stores(source)
+        .join(places, "BusinessEntityID", "left")
         .join(phones, "BusinessEntityID", "left")
-        .withColumn("business_type", business_type(F.col("business_code")))
         .withColumnRenamed("BusinessEntityID", "reseller_alternate_key")
-        .drop("AddressID", "business_code")
     )
 
 
@@ -358,16 +400,16 @@ def order_headers(source: Source, online: bool) -> DataFrame:
     return headers.join(customers, "CustomerID").join(stores, "reseller_alternate_key").drop("CustomerID")
 
 
+def order_lines(source: Source) -> DataFrame:
+    return source.table("Sales.SalesOrderDetail").select("SalesOrderID", *_renamed(ORDER_DETAIL))
+
+
 def order_details(source: Source) -> DataFrame:
     """Order lines with the standard cost of their product."""
     costs = source.table("Production.Product").select(
         F.col("ProductID").alias("product_alternate_key"), F.col("StandardCost").alias("product_standard_cost")
     )
-    return (
-        source.table("Sales.SalesOrderDetail")
-        .select("SalesOrderID", *_renamed(ORDER_DETAIL))
-        .join(costs, "product_alternate_key")
-    )
+    return order_lines(source).join(costs, "product_alternate_key")
 
 
 def extract_fact_internet_sales(source: Source) -> DataFrame:
@@ -405,7 +447,15 @@ class Extraction:
         return "failed" if table in self.failures else "extracted"
 
 
-def extract_all(source: Source, as_of: datetime.date | None = None) -> Extraction:
+# The same tables when they are built to be loaded.
+LOAD_EXTRACTS = {**EXTRACTS, "dim_reseller": first_resellers}
+
+
+def extract_all(
+    source: Source,
+    as_of: datetime.date | None = None,
+    extracts: Mapping[str, Callable[[Source], DataFrame]] = EXTRACTS,
+) -> Extraction:
     """Plan every extract; one that fails is recorded and does not stop the rest.
 
     Extracts are lazy, so this catches what planning can tell (missing tables or
@@ -413,7 +463,7 @@ def extract_all(source: Source, as_of: datetime.date | None = None) -> Extractio
     """
     frames: dict[str, DataFrame] = {}
     failures: dict[str, str] = {}
-    for name, build in EXTRACTS.items():
+    for name, build in extracts.items():
         try:
             frames[name] = build(source, as_of) if name == "dim_employee" else build(source)
         except Exception as error:  # any planning error of one table must not stop the others

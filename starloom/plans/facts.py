@@ -13,12 +13,12 @@ from ..functions.keys import (
     coerce_whole_numbers,
     fill_missing,
     normalize_key,
-    text_alternate_keys,
+    trimmed_text,
 )
 from ..functions.measures import derived_measures
 from ..operators.lookup import lookup_date, resolve
 from ..sources.tables import Source
-from .extracts import DEFAULT_CURRENCY, order_details, order_headers
+from .extracts import DEFAULT_CURRENCY, order_headers, order_lines
 
 # Order date column -> date key column.
 DATE_KEYS = {"OrderDate": "order_date_key", "DueDate": "due_date_key", "ShipDate": "ship_date_key"}
@@ -71,7 +71,7 @@ FACT_PLANS = {p.table: p for p in (INTERNET_SALES, RESELLER_SALES)}
 
 
 def _order_part(df: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Lookup]) -> DataFrame:
-    df = fill_missing(text_alternate_keys(df), ["currency_alternate_key"], DEFAULT_CURRENCY)
+    df = fill_missing(df, ["currency_alternate_key"], DEFAULT_CURRENCY)
     df = resolve(add_date_keys(df, DATE_KEYS), dims, lookups)
     for key in DATE_KEYS.values():
         if key in df.columns:
@@ -80,14 +80,15 @@ def _order_part(df: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[
 
 
 def _line_part(df: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Lookup]) -> DataFrame:
-    df = normalize_key(text_alternate_keys(df), "product_alternate_key")
-    return resolve(df, dims, lookups)
+    return resolve(normalize_key(df, "product_alternate_key"), dims, lookups)
 
 
-def _dims_as_text(dims: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    ready = {name: text_alternate_keys(df) for name, df in dims.items()}
-    ready["dim_product"] = normalize_key(ready["dim_product"], "product_alternate_key")
-    return ready
+def _needed_dims(dims: Mapping[str, DataFrame], plan: FactPlan) -> dict[str, DataFrame]:
+    """The dimensions a fact looks up, product codes without surrounding blanks."""
+    needed = {name: dims[name].select(alternate, key) for name, alternate, key in plan.lookups}
+    needed["dim_product"] = normalize_key(needed["dim_product"], "product_alternate_key")
+    needed["dim_date"] = dims["dim_date"]
+    return needed
 
 
 def _finish(df: DataFrame, plan: FactPlan) -> DataFrame:
@@ -101,21 +102,36 @@ def _finish(df: DataFrame, plan: FactPlan) -> DataFrame:
 
 def resolve_fact(lines: DataFrame, dims: Mapping[str, DataFrame], plan: FactPlan) -> DataFrame:
     """Every key and measure of extracted order lines; unresolved keys are null."""
-    dims = _dims_as_text(dims)
+    dims = _needed_dims(dims, plan)
     return _finish(_line_part(_order_part(lines, dims, plan.order_lookups), dims, plan.line_lookups), plan)
 
 
+def _lines_with_products(source: Source, dims: Mapping[str, DataFrame], lookups: Sequence[Lookup]) -> DataFrame:
+    """Order lines with cost and keys; cost and product key arrive in one join."""
+    products = source.table("Production.Product").select(
+        F.col("ProductID").alias("product_id"), F.col("StandardCost").alias("product_standard_cost")
+    )
+    keyed = resolve(
+        products.withColumn("product_alternate_key", trimmed_text("product_id")),
+        dims,
+        [lookup for lookup in lookups if lookup == _PRODUCT],
+    )
+    lines = order_lines(source).withColumnRenamed("product_alternate_key", "product_id")
+    lines = lines.join(keyed, "product_id").drop("product_id")
+    return resolve(lines, dims, [lookup for lookup in lookups if lookup != _PRODUCT])
+
+
 def resolve_fact_from_source(source: Source, dims: Mapping[str, DataFrame], plan: FactPlan) -> DataFrame:
     """The same rows as :func:`resolve_fact`, with lookups before the fan-out.
 
     Customer, reseller, employee, currency, territory and dates belong to the
-    order, so they are resolved once per order instead of once per line, and
-    lines are shuffled once, to meet their order.
+    order, so they are resolved once per order instead of once per line.  Lines
+    move at most twice: to meet their product, and to meet their order.
     """
-    dims = _dims_as_text(dims)
+    dims = _needed_dims(dims, plan)
     orders = _order_part(order_headers(source, plan.online), dims, plan.order_lookups)
-    details = _line_part(order_details(source), dims, plan.line_lookups)
-    return _finish(orders.join(details, "SalesOrderID").drop("SalesOrderID"), plan)
+    lines = _lines_with_products(source, dims, plan.line_lookups)
+    return _finish(orders.join(lines, "SalesOrderID").drop("SalesOrderID"), plan)
 
 
 def drop_incomplete(df: DataFrame, plan: FactPlan) -> DataFrame:

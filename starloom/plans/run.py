@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
@@ -15,7 +15,7 @@ from ..operators.statistics import HIGH_MISS_SHARE
 from ..sources.tables import Source
 from . import checks
 from .dimensions import prepare
-from .extracts import extract_all
+from .extracts import LOAD_EXTRACTS, extract_all
 from .facts import FACT_PLANS, resolve_fact_from_source
 from .warehouse import Warehouse
 
@@ -33,43 +33,50 @@ class RunReport:
     failures: dict[str, str] = field(default_factory=dict)
 
 
+Frames = Mapping[str, DataFrame]
+
+
 def load_warehouse(
     warehouse: Warehouse,
-    prepared: Mapping[str, DataFrame],
-    resolved_facts: Mapping[str, DataFrame],
+    prepared: Frames,
+    resolve: Callable[[Frames], Frames],
     truncate: bool = False,
-) -> dict:
-    """Load dimensions, then facts that were resolved beforehand; returns the summary."""
-    dimensions = warehouse.load_dimensions(prepared, truncate)
-    return checks.run_summary(dimensions, warehouse.load_facts(resolved_facts, truncate))
+    observations: Mapping[str, Observation] | None = None,
+) -> tuple[dict[str, int], dict[str, int]]:
+    """Load dimensions, resolve facts against them, load facts; returns the rows of each.
+
+    ``resolve`` gets the loaded dimensions: fact keys exist only after that load.
+    """
+    dimension_rows = warehouse.load_dimensions(prepared, truncate)
+    return dimension_rows, warehouse.load_facts(resolve(warehouse.tables()), truncate, observations)
 
 
 def run(
     warehouse: Warehouse,
     source: Source,
-    files: Mapping[str, DataFrame],
+    files: Frames,
     truncate: bool = False,
     as_of: datetime.date | None = None,
 ) -> RunReport:
     """Build the whole warehouse from its sources and check it."""
     warehouse.create()
-    extraction = extract_all(source, as_of)
+    extraction = extract_all(source, as_of, LOAD_EXTRACTS)
     for name, cause in extraction.failures.items():
         log.error("extract of %s failed: %s", name, cause)
     prepared = prepare(extraction.frames, files)
-    missing = [name for name in DIMENSIONS if name not in prepared]
+    missing = {n: extraction.failures.get(n, "not given") for n in DIMENSIONS if n not in prepared}
     if missing:
-        raise ValueError(f"missing dimensions: { {n: extraction.failures.get(n, 'not given') for n in missing} }")
+        raise ValueError(f"missing dimensions: {missing}")
 
-    dimension_rows = warehouse.load_dimensions(prepared, truncate)
-    dims = warehouse.tables(DIMENSIONS)
-    facts = {
-        name: resolve_fact_from_source(source, dims, FACT_PLANS[name])
-        for name in FACTS
-        if name not in extraction.failures
-    }
-    observed = {name: Observation() for name in facts}
-    fact_rows = warehouse.load_facts(facts, truncate, observed)
+    loadable = [name for name in FACTS if name not in extraction.failures]
+    observed = {name: Observation() for name in loadable}
+    dimension_rows, fact_rows = load_warehouse(
+        warehouse,
+        prepared,
+        lambda dims: {name: resolve_fact_from_source(source, dims, FACT_PLANS[name]) for name in loadable},
+        truncate,
+        observed,
+    )
     matches = {name: seen.get for name, seen in observed.items()}
     for name, counts in matches.items():
         _log_matches(name, counts)

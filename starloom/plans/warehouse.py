@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,41 +81,49 @@ class Warehouse:
 
     def read(self, table: str) -> DataFrame:
         """A loaded table; a missing one reads as empty."""
-        if not self.exists(table):
+        names = TABLES[table].schema.names
+        try:
+            return self.spark.read.table(self.name(table)).select(*names)
+        except AnalysisException:
+            if self.exists(table):
+                raise
             log.warning("%s does not exist", self.name(table))
             return self.spark.createDataFrame([], TABLES[table].schema)
-        return self.spark.read.table(self.name(table)).select(*TABLES[table].schema.names)
 
-    def tables(self, names: Iterable[str] = TABLES) -> dict[str, DataFrame]:
-        return {name: self.read(name) for name in names}
+    def tables(self) -> Mapping[str, DataFrame]:
+        """All target tables by name, each read when it is asked for."""
+        return _LoadedTables(self)
 
     def count(self, table: str) -> int:
         return self.read(table).count()
 
     # -- writing --------------------------------------------------------
 
-    def truncate(self, table: str) -> list[str]:
-        """Empty a table and every table that refers to it; returns their names."""
-        emptied = [t for t in (table, *dependants_of(table)) if self.exists(t)]
-        for name in emptied:
-            self.spark.sql(f"TRUNCATE TABLE {self.name(name)}")
+    def truncate(self, *tables: str) -> list[str]:
+        """Empty tables and every table that refers to them; returns their names."""
+        listed = dict.fromkeys(t for table in tables for t in (table, *dependants_of(table)))
+        emptied = [t for t in listed if self.exists(t)]
+        self._side_by_side(emptied, lambda name: self.spark.sql(f"TRUNCATE TABLE {self.name(name)}"))
         return emptied
 
-    def append(self, table: str, df: DataFrame, check_conflicts: bool = True, strict: bool = False) -> int:
+    def append(self, table: str, df: DataFrame, strict: bool = False, into_empty: bool = False) -> int:
         """Append rows and return how many were written.
 
         Generated keys continue after the greatest existing key.  A row whose
         given key or unique columns already exist is an error; rows are never
-        updated.  ``strict`` also refuses null or over-long values.
+        updated.  ``strict`` also refuses null or over-long values.  Looking at
+        existing rows is skipped when the table is known to be empty.
         """
         spec = TABLES[table]
         ready = conform(df, spec)
         if strict:
             ready = write_through(ready, f"load-{table}")
             self._refuse_violations(ready, spec)
-        if check_conflicts:
+        start = 1
+        if not into_empty:
             self._refuse_conflicts(ready, spec)
-        ready = self._with_keys(ready, spec)
+            start = self._next_key(spec)
+        ready = self._with_keys(ready, spec, start)
         rows = Observation()
         target = self.spark.read.table(self.name(table)).columns
         ready.observe(rows, F.count(F.lit(1)).alias("n")).select(*target).write.insertInto(self.name(table))
@@ -125,14 +134,18 @@ class Warehouse:
             log.info("%s: %d rows loaded", table, written)
         return written
 
-    def _with_keys(self, df: DataFrame, spec: Table) -> DataFrame:
+    def _next_key(self, spec: Table) -> int:
+        if not spec.generated:
+            return 1
+        last = self.read(spec.name).agg(F.max(spec.key).alias("last")).first()["last"]
+        return (last or 0) + 1
+
+    def _with_keys(self, df: DataFrame, spec: Table, start: int) -> DataFrame:
         if spec.is_fact and self.partition_facts_by:
             # Rebalancing splits hot values and merges small ones; keys come after it.
             df = df.hint("rebalance", self.partition_facts_by)
         if not spec.generated or spec.key in df.columns:
             return df
-        last = self.read(spec.name).agg(F.max(spec.key).alias("last")).first()["last"]
-        start = (last or 0) + 1
         if spec.is_fact:
             return unique_row_keys(df, spec.key, start)
         return assign_keys(df, spec.key, spec.order_by, start)
@@ -157,7 +170,7 @@ class Warehouse:
         """Truncate first (initial load) or only append (incremental load)."""
         if truncate:
             self.truncate(table)
-        return self.append(table, df, check_conflicts=not truncate, **options)
+        return self.append(table, df, into_empty=truncate, **options)
 
     # -- whole levels -----------------------------------------------------
 
@@ -167,14 +180,17 @@ class Warehouse:
         if missing:
             raise ValueError(f"missing dimensions: {missing}")
         if truncate:
-            for name in DIMENSIONS:
-                self.truncate(name)
+            self.truncate(*DIMENSIONS)
+        loaded = self.tables()
 
         def load_one(name: str) -> int:
-            df = build_dimension(name, prepared[name], _LoadedTables(self))
-            return self.append(name, df, check_conflicts=not truncate)
+            df = build_dimension(name, prepared[name], loaded)
+            return self.append(name, df, into_empty=truncate)
 
-        return self._in_waves(DIMENSIONS, load_one)
+        rows: dict[str, int] = {}
+        for wave in load_order(DIMENSIONS):
+            rows |= self._side_by_side(wave, load_one)
+        return rows
 
     def load_facts(
         self,
@@ -193,14 +209,12 @@ class Warehouse:
                 df = observe_matches(df, plan.resolved_keys, observations[name])
             return self.load(name, drop_incomplete(df, plan), truncate)
 
-        return {name: load_one(name) for name in FACTS if name in resolved}
+        return self._side_by_side([name for name in FACTS if name in resolved], load_one)
 
-    def _in_waves(self, names: list[str], load_one: Callable[[str], int]) -> dict[str, int]:
-        loaded: dict[str, int] = {}
+    def _side_by_side(self, names: list[str], action: Callable[[str], object]) -> dict:
+        """Run one action per table, several at a time."""
         with ThreadPoolExecutor(CONCURRENT_LOADS) as pool:
-            for wave in load_order(names):
-                loaded |= dict(zip(wave, pool.map(load_one, wave), strict=True))
-        return loaded
+            return dict(zip(names, pool.map(action, names), strict=True))
 
 
 class _LoadedTables(Mapping):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import add_date_keys
-from ..model import DIM_GEOGRAPHY, DIMENSIONS, conform
+from ..model import DIM_GEOGRAPHY, conform
 from ..operators.dedupe import duplicate_keys, duplicate_summary, keep_first
 from ..operators.lookup import (
     lookup_composite,
@@ -47,7 +47,7 @@ from .source_views import BenchmarkTables, calendar_rows, sales_source, territor
 
 
 def _dims(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return loaded_dimensions(spark, folder)[0].tables(DIMENSIONS)
+    return loaded_dimensions(spark, folder)[0].tables()
 
 
 def _geography(spark: SparkSession, folder: str) -> DataFrame:
@@ -205,15 +205,19 @@ def composite_lookup_fan_out(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _first_resellers(spark: SparkSession, folder: str) -> DataFrame:
-    raw = extracts.extract_dim_reseller(sales_source(spark, folder))
-    order = ["phone", "address_line1", "address_line2", *PLACE_KEY]
-    return keep_first(raw, ["reseller_alternate_key"], order).select("reseller_alternate_key", *PLACE_KEY)
+    return extracts.first_resellers(sales_source(spark, folder)).select("reseller_alternate_key", *PLACE_KEY)
 
 
 @query("select * from d_first_reseller")
 def first_reseller_rows(spark: SparkSession, folder: str) -> DataFrame:
     raw = extracts.extract_dim_reseller(sales_source(spark, folder))
-    return keep_first(raw, ["reseller_alternate_key"], ["phone", "address_line1", "address_line2", *PLACE_KEY])
+    return keep_first(raw, ["reseller_alternate_key"], extracts.RESELLER_ORDER)
+
+
+@query("select * from d_first_reseller")
+def first_resellers_from_source(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows without pairing every phone with every address."""
+    return extracts.first_resellers(sales_source(spark, folder))
 
 
 @query(

@@ -169,8 +169,7 @@ _BROKEN = "'dim_product', 'dim_reseller', 'dim_date'"
 )
 def broken_foreign_keys(spark: SparkSession, folder: str) -> DataFrame:
     """The six decisive relationships against dimensions that lost some members."""
-    tables = loaded_warehouse(spark, folder)[0].tables()
-    tables |= {
+    tables = dict(loaded_warehouse(spark, folder)[0].tables()) | {
         "dim_product": tables["dim_product"].where("finished_goods_flag"),
         "dim_customer": tables["dim_customer"].where("title is not null"),
         "dim_date": tables["dim_date"].where("calendar_year < 2000 or calendar_year > 2001"),

@@ -7,9 +7,9 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..model import DIMENSIONS, FACTS
+from ..model import FACTS
 from ..plans.dimensions import prepare
-from ..plans.extracts import extract_all
+from ..plans.extracts import LOAD_EXTRACTS, extract_all
 from ..plans.facts import FACT_PLANS, resolve_fact_from_source
 from ..plans.warehouse import Warehouse
 from ..session import new_folder
@@ -21,7 +21,7 @@ _lock = threading.Lock()
 
 def prepared_dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     files = {"dim_date": calendar_rows(spark, folder), "dim_sales_territory": territory_rows(spark, folder)}
-    return prepare(extract_all(sales_source(spark, folder), AS_OF).frames, files)
+    return prepare(extract_all(sales_source(spark, folder), AS_OF, LOAD_EXTRACTS).frames, files)
 
 
 def new_warehouse(spark: SparkSession, label: str) -> Warehouse:
@@ -49,7 +49,7 @@ def loaded_warehouse(spark: SparkSession, folder: str) -> tuple[Warehouse, dict[
     with _lock:
         counts = getattr(warehouse, "fact_rows", None)
         if counts is None:
-            dims = warehouse.tables(DIMENSIONS)
+            dims = warehouse.tables()
             source = sales_source(spark, folder)
             facts = {name: resolve_fact_from_source(source, dims, FACT_PLANS[name]) for name in FACTS}
             counts = warehouse.fact_rows = warehouse.load_facts(facts, truncate=True)

@@ -62,6 +62,23 @@ _STORE_XML = "concat('<StoreSurvey xmlns=\"urn:survey:store\">', " + ", ".join(
 ) + ", '</StoreSurvey>')"
 
 
+# The columns of the benchmark files, so that no file is opened to infer them.
+_COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 class BenchmarkTables:
     """The benchmark Parquet files of one scale."""
 
@@ -70,46 +87,46 @@ class BenchmarkTables:
         self.folder = folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_"):
+        if name not in _COLUMNS:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(_COLUMNS[name]).parquet(f"{self.folder}/{name}.parquet")
 
 
 def sales_source(spark: SparkSession, folder: str) -> FrameSource:
     t = BenchmarkTables(spark, folder)
-    customer, supplier, nation, region = t.customer, t.supplier, t.nation, t.region
-    part, orders, lineitem, events, documents = t.part, t.orders, t.lineitem, t.events, t.documents
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+
+    def places() -> DataFrame:
+        return t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
 
     return FrameSource(
         spark,
         {
-            "Person.CountryRegion": lambda: region.selectExpr(
+            "Person.CountryRegion": lambda: t.region.selectExpr(
                 f"{_REGION_CODE} as CountryRegionCode", "r_name as Name"
             ),
-            "Person.StateProvince": lambda: places.selectExpr(
+            "Person.StateProvince": lambda: places().selectExpr(
                 "n_nationkey as StateProvinceID",
                 "lpad(cast(n_nationkey as string), 3, '0') as StateProvinceCode",
                 "n_name as Name",
                 f"{_REGION_CODE} as CountryRegionCode",
             ),
-            "Sales.SalesTerritory": lambda: places.selectExpr(
+            "Sales.SalesTerritory": lambda: places().selectExpr(
                 "n_nationkey + 1 as TerritoryID", f"{_REGION_CODE} as CountryRegionCode"
             ),
-            "Sales.Currency": lambda: region.selectExpr(
+            "Sales.Currency": lambda: t.region.selectExpr(
                 f"case when r_name = 'AMERICA' then 'USD' else {_REGION_CODE} end as CurrencyCode",
                 "concat(r_name, ' money') as Name",
             ),
-            "Sales.CurrencyRate": lambda: places.selectExpr(
+            "Sales.CurrencyRate": lambda: places().selectExpr(
                 "n_nationkey as CurrencyRateID",
                 f"case when r_name = 'AMERICA' then 'USD' else {_REGION_CODE} end as ToCurrencyCode",
             ),
-            "Sales.Customer": lambda: customer.selectExpr(
+            "Sales.Customer": lambda: t.customer.selectExpr(
                 "c_custkey as CustomerID",
                 "case when c_mktsegment <> 'MACHINERY' then 2 * c_custkey end as PersonID",
                 f"case when c_mktsegment <> 'HOUSEHOLD' then {_STORE_OF_CUSTOMER} end as StoreID",
             ),
-            "Person.Person": lambda: customer.selectExpr(
+            "Person.Person": lambda: t.customer.selectExpr(
                 "2 * c_custkey as BusinessEntityID",
                 "case when c_nationkey < 12 then 'Mr.' end as Title",
                 "substr(c_name, 1, 8) as FirstName",
@@ -119,21 +136,21 @@ def sales_source(spark: SparkSession, folder: str) -> FrameSource:
                 "case when c_mktsegment = 'BUILDING' then 'Jr.' end as Suffix",
                 f"case when c_mktsegment <> 'FURNITURE' or c_acctbal >= 1000 then {_PERSON_XML} end as Demographics",
             ),
-            "Person.EmailAddress": lambda: customer.selectExpr(
+            "Person.EmailAddress": lambda: t.customer.selectExpr(
                 "2 * c_custkey as BusinessEntityID", "concat('c', c_custkey, '@mail.example') as EmailAddress"
             ).unionByName(
-                customer.where("c_mktsegment = 'BUILDING'").selectExpr(
+                t.customer.where("c_mktsegment = 'BUILDING'").selectExpr(
                     "2 * c_custkey as BusinessEntityID", "concat('b', c_custkey, '@site.example') as EmailAddress"
                 )
             ),
-            "Person.PersonPhone": lambda: customer.selectExpr(
+            "Person.PersonPhone": lambda: t.customer.selectExpr(
                 "2 * c_custkey as BusinessEntityID", "concat(c_nationkey, '-', c_custkey) as PhoneNumber"
             ).unionByName(
-                customer.where("c_acctbal > 5000").selectExpr(
+                t.customer.where("c_acctbal > 5000").selectExpr(
                     "2 * c_custkey as BusinessEntityID", "concat('800-', c_custkey) as PhoneNumber"
                 )
             ),
-            "Person.Address": lambda: customer.selectExpr(
+            "Person.Address": lambda: t.customer.selectExpr(
                 "2 * c_custkey as AddressID",
                 "concat(c_custkey, ' Main St') as AddressLine1",
                 "case when c_mktsegment = 'AUTOMOBILE' then concat('Apt ', c_nationkey) end as AddressLine2",
@@ -142,7 +159,7 @@ def sales_source(spark: SparkSession, folder: str) -> FrameSource:
                 "case when c_mktsegment <> 'FURNITURE' or c_nationkey <> 3 "
                 "then concat('P', c_nationkey, '-', substr(c_mktsegment, 1, 2)) end as PostalCode",
             ).unionByName(
-                supplier.selectExpr(
+                t.supplier.selectExpr(
                     "2 * s_suppkey + 1 as AddressID",
                     "concat('Dock ', s_suppkey) as AddressLine1",
                     "cast(null as string) as AddressLine2",
@@ -151,29 +168,29 @@ def sales_source(spark: SparkSession, folder: str) -> FrameSource:
                     "concat('P', s_nationkey, '-BU') as PostalCode",
                 )
             ),
-            "Person.BusinessEntityAddress": lambda: customer.selectExpr(
+            "Person.BusinessEntityAddress": lambda: t.customer.selectExpr(
                 "2 * c_custkey as BusinessEntityID", "2 * c_custkey as AddressID"
             )
             .unionByName(
-                customer.where("c_mktsegment = 'BUILDING'").selectExpr(
+                t.customer.where("c_mktsegment = 'BUILDING'").selectExpr(
                     "2 * c_custkey as BusinessEntityID", f"{_STORE_OF_CUSTOMER} as AddressID"
                 )
             )
             .unionByName(
-                supplier.where("s_acctbal <= 9000").selectExpr(
+                t.supplier.where("s_acctbal <= 9000").selectExpr(
                     "2 * s_suppkey + 1 as BusinessEntityID", "2 * s_suppkey + 1 as AddressID"
                 )
             ),
-            "Sales.Store": lambda: supplier.selectExpr(
+            "Sales.Store": lambda: t.supplier.selectExpr(
                 "2 * s_suppkey + 1 as BusinessEntityID", "s_name as Name", f"{_STORE_XML} as Demographics"
             ),
-            "Sales.vStoreWithContacts": lambda: customer.where("c_mktsegment <> 'HOUSEHOLD'").selectExpr(
+            "Sales.vStoreWithContacts": lambda: t.customer.where("c_mktsegment <> 'HOUSEHOLD'").selectExpr(
                 f"{_STORE_OF_CUSTOMER} as BusinessEntityID", "concat('+', c_custkey) as PhoneNumber"
             ),
-            "HumanResources.Department": lambda: events.select("event_type")
+            "HumanResources.Department": lambda: t.events.select("event_type")
             .distinct()
             .selectExpr("ascii(event_type) as DepartmentID", "event_type as Name"),
-            "HumanResources.Employee": lambda: events.groupBy("user_id")
+            "HumanResources.Employee": lambda: t.events.groupBy("user_id")
             .agg(
                 F.to_date(F.min("ts")).alias("first_day"),
                 F.count(F.lit(1)).alias("n"),
@@ -192,7 +209,7 @@ def sales_source(spark: SparkSession, folder: str) -> FrameSource:
                 "cast(errors as smallint) as SickLeaveHours",
                 "errors < 20 as CurrentFlag",
             ),
-            "HumanResources.EmployeeDepartmentHistory": lambda: events.groupBy("user_id", "event_type")
+            "HumanResources.EmployeeDepartmentHistory": lambda: t.events.groupBy("user_id", "event_type")
             .agg(F.to_date(F.min("ts")).alias("a"), F.to_date(F.max("ts")).alias("b"))
             .selectExpr(
                 "2 * user_id as BusinessEntityID",
@@ -200,23 +217,23 @@ def sales_source(spark: SparkSession, folder: str) -> FrameSource:
                 "a as StartDate",
                 "case when event_type <> 'signup' then b end as EndDate",
             ),
-            "HumanResources.EmployeePayHistory": lambda: events.where("event_type = 'purchase'").selectExpr(
+            "HumanResources.EmployeePayHistory": lambda: t.events.where("event_type = 'purchase'").selectExpr(
                 "2 * user_id as BusinessEntityID",
                 "date_trunc('day', ts) as RateChangeDate",
                 "cast(value as decimal(19,4)) as Rate",
                 "cast(case when value < 20 then 1 else 2 end as smallint) as PayFrequency",
             ),
-            "Production.ProductCategory": lambda: part.select("p_type")
+            "Production.ProductCategory": lambda: t.part.select("p_type")
             .distinct()
             .selectExpr(f"{_CATEGORY_ID} as ProductCategoryID", "p_type as Name"),
-            "Production.ProductSubcategory": lambda: part.select("p_brand", "p_type")
+            "Production.ProductSubcategory": lambda: t.part.select("p_brand", "p_type")
             .distinct()
             .selectExpr(
                 f"{_SUBCATEGORY_ID} as ProductSubcategoryID",
                 "concat(p_brand, ' ', p_type) as Name",
                 f"case when p_type <> 'SMALL' then {_CATEGORY_ID} end as ProductCategoryID",
             ),
-            "Production.Product": lambda: part.selectExpr(
+            "Production.Product": lambda: t.part.selectExpr(
                 "p_partkey as ProductID",
                 "p_name as Name",
                 "cast(p_retailprice * 0.5D as decimal(19,4)) as StandardCost",
@@ -238,16 +255,16 @@ def sales_source(spark: SparkSession, folder: str) -> FrameSource:
                 "case when p_size <> 50 then 'KG' end as WeightUnitMeasureCode",
                 "case when p_size < 25 then 'CM' end as SizeUnitMeasureCode",
             ),
-            "Production.ProductModel": lambda: part.selectExpr("p_partkey div 3 as ProductModelID")
+            "Production.ProductModel": lambda: t.part.selectExpr("p_partkey div 3 as ProductModelID")
             .distinct()
             .selectExpr("ProductModelID", "concat('Model ', ProductModelID) as Name"),
-            "Production.ProductModelProductDescriptionCulture": lambda: documents.selectExpr(
+            "Production.ProductModelProductDescriptionCulture": lambda: t.documents.selectExpr(
                 "doc_id div 3 as ProductModelID", "doc_id as ProductDescriptionID", "lang as CultureID"
             ),
-            "Production.ProductDescription": lambda: documents.selectExpr(
+            "Production.ProductDescription": lambda: t.documents.selectExpr(
                 "doc_id as ProductDescriptionID", "text as Description"
             ),
-            "Sales.SpecialOffer": lambda: orders.select("o_orderpriority")
+            "Sales.SpecialOffer": lambda: t.orders.select("o_orderpriority")
             .distinct()
             .selectExpr("o_orderpriority", "cast(substr(o_orderpriority, 1, 1) as int) as id")
             .selectExpr(
@@ -261,14 +278,14 @@ def sales_source(spark: SparkSession, folder: str) -> FrameSource:
                 "id as MinQty",
                 "case when id > 2 then id * 10 end as MaxQty",
             ),
-            "Sales.SalesReason": lambda: lineitem.select("l_returnflag", "l_linestatus")
+            "Sales.SalesReason": lambda: t.lineitem.select("l_returnflag", "l_linestatus")
             .distinct()
             .selectExpr(
                 "ascii(l_returnflag) * 1000 + ascii(l_linestatus) as SalesReasonID",
                 "concat('Reason ', l_returnflag) as Name",
                 "concat('Type ', l_linestatus) as ReasonType",
             ),
-            "Sales.SalesOrderHeader": lambda: orders.selectExpr(
+            "Sales.SalesOrderHeader": lambda: t.orders.selectExpr(
                 "o_orderkey as SalesOrderID",
                 "o_orderdate as OrderDate",
                 "o_orderdate + interval 12 days as DueDate",
@@ -284,7 +301,7 @@ def sales_source(spark: SparkSession, folder: str) -> FrameSource:
                 "when o_orderstatus = 'O' or o_orderpriority <> '5-LOW' then false end as OnlineOrderFlag",
                 "2 * (o_custkey div 10) as SalesPersonID",
             ),
-            "Sales.SalesOrderDetail": lambda: lineitem.selectExpr(
+            "Sales.SalesOrderDetail": lambda: t.lineitem.selectExpr(
                 "l_orderkey as SalesOrderID",
                 "l_linenumber as SalesOrderDetailID",
                 "l_partkey as ProductID",

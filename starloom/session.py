@@ -26,6 +26,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", **extra: str) -> S
         SparkSession.builder.master(f"local[{cores}]")
         .appName("starloom")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(extra.pop("partitions", 8)))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="starloom-tables-"))
@@ -33,7 +34,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", **extra: str) -> S
     for name, value in {**SETTINGS, **extra}.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("FATAL")
     return spark
 
 
