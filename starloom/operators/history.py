@@ -42,9 +42,10 @@ def preferred_text(
 
     A group that has a link in the preferred language never falls back, even
     when that link leads to no text.  "First" means the lowest text id.  Only
-    ids are aggregated; text bodies are fetched for the winners alone.
+    ids are aggregated; text bodies are fetched for the winners alone.  Text ids
+    are unique.
     """
-    known = texts.select(F.col(text_id)).distinct().withColumn("_known", F.lit(True))
+    known = texts.select(text_id).withColumn("_known", F.lit(True))
     is_preferred = F.col(language) == preferred
     winners = (
         links.select(group, text_id, language)

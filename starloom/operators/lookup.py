@@ -1,10 +1,17 @@
-"""Joins that resolve business keys against dimensions."""
+"""Joins that resolve business keys against dimensions.
+
+Hot keys: AQE splits a hot key of one join side into many tasks, but only where
+both sides come straight from a shuffle made for that join.  A side that was
+grouped by the join key would be reused as it is partitioned, and the hot key
+would stay in one task.  The helpers here group by a hash besides the key, so
+the small grouped side is shuffled once more and the split stays possible.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,15 +26,36 @@ def _alike(left: T.DataType, right: T.DataType) -> bool:
     return left == right or (isinstance(left, T.IntegralType) and isinstance(right, T.IntegralType))
 
 
-def key_map(dim: DataFrame, alternate_key: str, surrogate_key: str) -> DataFrame:
+def _spread(*columns: str) -> Column:
+    return F.xxhash64(*columns).alias("_spread")
+
+
+def key_map(dim: DataFrame, alternate_key: str | Sequence[str], surrogate_key: str) -> DataFrame:
     """Alternate key -> surrogate key; a duplicated alternate key keeps its lowest key.
 
-    A plain hash aggregate of two columns: duplicates combine before the shuffle.
+    A plain hash aggregate of narrow columns: duplicates combine before the shuffle.
+    """
+    keys = [alternate_key] if isinstance(alternate_key, str) else list(alternate_key)
+    return dim.dropna(subset=keys).groupBy(*keys, _spread(*keys)).agg(F.min(surrogate_key).alias(surrogate_key)).drop("_spread")
+
+
+def distinct_keys(df: DataFrame, column: str, name: str) -> DataFrame:
+    """The non-null values of a column, once each."""
+    values = df.select(F.col(column).alias(name)).dropna()
+    return values.groupBy(name, _spread(name)).agg(F.lit(True).alias("_found")).select(name)
+
+
+def join_unique(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Equi-join against a side with unique keys that is already partitioned by them.
+
+    Joining on a hash as well gives both sides a shuffle of their own, at the
+    price of moving the right side once more.
     """
+    on = list(on)
     return (
-        dim.where(F.col(alternate_key).isNotNull())
-        .groupBy(alternate_key)
-        .agg(F.min(surrogate_key).alias(surrogate_key))
+        left.withColumn("_spread", F.xxhash64(*on))
+        .join(right.withColumn("_spread", F.xxhash64(*on)), [*on, "_spread"], how)
+        .drop("_spread")
     )
 
 
@@ -56,7 +84,7 @@ def lookup_key(
 
 def lookup_date(df: DataFrame, calendar: DataFrame, key_column: str, final_name: str | None = None) -> DataFrame:
     """Keep a date key only where the calendar has it, else null."""
-    days = calendar.select(F.col("date_key").alias("_day")).distinct()
+    days = distinct_keys(calendar, "date_key", "_day")
     found = df.join(days, F.col(key_column) == F.col("_day"), "left")
     name = final_name or key_column
     return found.drop(key_column).withColumnRenamed("_day", name)
@@ -104,9 +132,9 @@ def lookup_composite(
     fill = {c: F.coalesce(F.col(c), F.lit(unknown)) for c in on}
     members = dim.withColumns(fill)
     if fan_out:
-        members = members.select(*on, surrogate_key).distinct()
+        members = members.select(*on, surrogate_key).distinct()  # distinct on more than the join key
     else:
-        members = members.groupBy(*on).agg(F.min(surrogate_key).alias(surrogate_key))
+        members = key_map(members, on, surrogate_key)
     found = df.withColumns(fill).join(members, on, "left")
     if default is None:
         return found
@@ -115,7 +143,7 @@ def lookup_composite(
 
 def with_match_marker(df: DataFrame, dim: DataFrame, on: str, marker: str = "is_matched") -> DataFrame:
     """Left join against a dimension key with a boolean match column."""
-    keys = dim.select(on).where(F.col(on).isNotNull()).distinct().withColumn(marker, F.lit(True))
+    keys = distinct_keys(dim, on, on).withColumn(marker, F.lit(True))
     return df.join(keys, on, "left").withColumn(marker, F.coalesce(F.col(marker), F.lit(False)))
 
 
@@ -145,7 +173,7 @@ def validated_join(
 
 def orphans(child: DataFrame, parent: DataFrame, column: str, parent_key: str) -> DataFrame:
     """Rows whose non-null key has no parent."""
-    keys = parent.select(F.col(parent_key).alias("_parent")).distinct()
+    keys = distinct_keys(parent, parent_key, "_parent")
     return child.where(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("_parent"), "left_anti")
 
 

@@ -13,6 +13,7 @@ from ..functions.codes import business_type
 from ..functions.xml_fields import PERSON_SURVEY, STORE_SURVEY, xml_fields
 from ..operators.dedupe import keep_first
 from ..operators.history import current_rows, latest_rows, preferred_text
+from ..operators.lookup import join_unique
 from ..sources.tables import Source
 
 # Source column -> target column.
@@ -220,7 +221,8 @@ def extract_dim_customer(source: Source) -> DataFrame:
     """People who are customers, with contact, address and survey fields.
 
     Survey documents are parsed where they are read, so the joins move the few
-    fields instead of the documents; every join is on the person.
+    fields instead of the documents.  Everything about a person is put together
+    first, by joins on one key, and then meets the customers.
     """
     customers = (
         source.table("Sales.Customer")
@@ -228,13 +230,13 @@ def extract_dim_customer(source: Source) -> DataFrame:
         .select(F.col("CustomerID").alias("customer_alternate_key"), F.col("PersonID").alias("BusinessEntityID"))
     )
     people = source.table("Person.Person").select("BusinessEntityID", *_renamed(PERSON_NAME), "Demographics")
-    return (
-        customers.join(xml_fields(people, "Demographics", PERSON_SURVEY), "BusinessEntityID")
+    profiles = (
+        xml_fields(people, "Demographics", PERSON_SURVEY)
         .join(_emails(source), "BusinessEntityID", "left")
         .join(_phones(source), "BusinessEntityID", "left")
         .join(entity_addresses(source), "BusinessEntityID", "left")
-        .drop("BusinessEntityID")
     )
+    return join_unique(customers, profiles, ["BusinessEntityID"], "inner").drop("BusinessEntityID")
 
 
 def model_descriptions(source: Source) -> DataFrame:
@@ -253,11 +255,13 @@ def extract_dim_product(source: Source) -> DataFrame:
     models = source.table("Production.ProductModel").select("ProductModelID", F.col("Name").alias("model_name"))
     # A description hangs on a model, so it is looked up through the model table.
     described = models.join(model_descriptions(source), "ProductModelID", "left")
-    return (
+    products = (
         source.table("Production.Product")
         .where(F.col("ProductID").isNotNull())
         .select("ProductModelID", *_renamed(PRODUCT))
-        .join(described, "ProductModelID", "left")
+    )
+    return (
+        join_unique(products, described, ["ProductModelID"], "left")
         .withColumn("description", F.coalesce("Description", F.lit(NO_DESCRIPTION)))
         .select(*PRODUCT.values(), "model_name", "description")
     )

@@ -340,11 +340,19 @@ def _fact(table: str):
     return build
 
 
-query("select * from f_internet_kept", "fact_internet_sales")(_fact(INTERNET_SALES.table))
+# The internet fact holds its resolved keys as wide whole numbers.
+_INTERNET_SQL = """
+    select * replace (cast(sales_territory_key as bigint) as sales_territory_key,
+                      cast(order_date_key as bigint) as order_date_key,
+                      cast(due_date_key as bigint) as due_date_key,
+                      cast(ship_date_key as bigint) as ship_date_key)
+    from f_internet_kept"""
+
+query(_INTERNET_SQL, "fact_internet_sales")(_fact(INTERNET_SALES.table))
 query("select * from f_reseller_kept", "fact_reseller_sales")(_fact(RESELLER_SALES.table))
 
 
-@query("select * from f_internet_kept")
+@query(_INTERNET_SQL)
 def internet_sales_from_extract(spark: SparkSession, folder: str) -> DataFrame:
     """The internet fact from extracted lines instead of from the source tables."""
     lines = extracts.extract_fact_internet_sales(sales_source(spark, folder))

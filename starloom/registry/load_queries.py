@@ -61,7 +61,7 @@ def loaded_internet_sales(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """select order_date_key // 10000 as calendar_year, count(*) as line_count,
+    """select cast(order_date_key // 10000 as bigint) as calendar_year, count(*) as line_count,
               cast(sum(order_quantity) as bigint) as quantity,
               cast(sum(product_standard_cost * order_quantity) as decimal(28,4)) as cost
        from f_reseller_kept group by 1"""
@@ -128,7 +128,7 @@ def table_report(spark: SparkSession, folder: str) -> DataFrame:
     return checks.table_report(spark, loaded_warehouse(spark, folder)[0].tables())
 
 
-@query("select 14 as matching, 14 as total")
+@query("select 14::bigint as matching, 14::bigint as total")
 def tables_with_rows(spark: SparkSession, folder: str) -> DataFrame:
     """How many tables hold rows, of how many."""
     return checks.status_count(table_report(spark, folder))
@@ -153,9 +153,6 @@ def foreign_keys(spark: SparkSession, folder: str) -> DataFrame:
     return integrity.foreign_key_report(loaded_warehouse(spark, folder)[0].tables())
 
 
-_BROKEN = "'dim_product', 'dim_reseller', 'dim_date'"
-
-
 @query(
     """select 'fk_fis_product' as constraint_name, count(*) as orphans
        from f_internet_kept join d_product using (product_key) where not finished_goods_flag
@@ -169,7 +166,8 @@ _BROKEN = "'dim_product', 'dim_reseller', 'dim_date'"
 )
 def broken_foreign_keys(spark: SparkSession, folder: str) -> DataFrame:
     """The six decisive relationships against dimensions that lost some members."""
-    tables = dict(loaded_warehouse(spark, folder)[0].tables()) | {
+    tables = dict(loaded_warehouse(spark, folder)[0].tables())
+    tables |= {
         "dim_product": tables["dim_product"].where("finished_goods_flag"),
         "dim_customer": tables["dim_customer"].where("title is not null"),
         "dim_date": tables["dim_date"].where("calendar_year < 2000 or calendar_year > 2001"),
@@ -180,7 +178,7 @@ def broken_foreign_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     " union all ".join(
-        f"select '{t}' as table_name, '{TABLES[t].key}' as key, 0 as surplus_rows, 0 as null_rows" for t in TABLES
+        f"select '{t}' as table_name, '{TABLES[t].key}' as key, 0::bigint as surplus_rows, 0::bigint as null_rows" for t in TABLES
     )
 )
 def primary_keys(spark: SparkSession, folder: str) -> DataFrame:
@@ -190,7 +188,7 @@ def primary_keys(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     " union all ".join(
         f"select '{t}' as table_name, 'sales_order_number,sales_order_detail_id' as key, "
-        f"count(*) - count(distinct (sales_order_number, sales_order_detail_id)) as surplus_rows, 0 as null_rows "
+        f"count(*) - count(distinct (sales_order_number, sales_order_detail_id)) as surplus_rows, 0::bigint as null_rows "
         f"from {LOADED[t]}"
         for t in ("fact_internet_sales", "fact_reseller_sales")
     )
@@ -219,9 +217,9 @@ def column_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """select 14 as tables_ok, 14 as tables_total,
+    """select 14::bigint as tables_ok, 14::bigint as tables_total,
               (select count(*) from f_internet_kept) + (select count(*) from f_reseller_kept) as fact_rows,
-              0 as orphans, 'success' as outcome"""
+              0::bigint as orphans, 'success' as outcome"""
 )
 def run_outcome(spark: SparkSession, folder: str) -> DataFrame:
     tables = loaded_warehouse(spark, folder)[0].tables()
@@ -229,7 +227,7 @@ def run_outcome(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """select 12 as dimensions_loaded, 2 as facts_loaded, (select count(*) from f_internet_kept) as internet_rows,
+    """select 12::bigint as dimensions_loaded, 2::bigint as facts_loaded, (select count(*) from f_internet_kept) as internet_rows,
               (select count(*) from f_reseller_kept) as reseller_rows,
               (select count(*) from f_internet_kept) + (select count(*) from f_reseller_kept) as total_fact_records"""
 )

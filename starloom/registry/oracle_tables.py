@@ -10,8 +10,8 @@ import re
 
 _CODE = "substr(r_name, 1, 3)"
 _MONEY_CODE = f"case when r_name = 'AMERICA' then 'USD' else {_CODE} end"
-_CATEGORY = "(ascii(p_type) + length(p_type))"
-_SUBCATEGORY = f"(cast(substr(p_brand, 7) as integer) * 100 + {_CATEGORY})"
+_CATEGORY = "cast(ascii(p_type) + length(p_type) as integer)"
+_SUBCATEGORY = f"cast(cast(substr(p_brand, 7) as integer) * 100 + {_CATEGORY} as integer)"
 _STORE = "(2 * (c_custkey // 15) + 1)"
 _SURVEYED = "(c_mktsegment <> 'FURNITURE' or c_acctbal >= 1000)"
 
@@ -324,7 +324,8 @@ DEFINITIONS = {
     "d_employee": """
         select row_number() over (order by employee_alternate_key nulls first, department_name nulls first,
                    start_date nulls first, end_date nulls first, base_rate nulls first, pay_frequency nulls first,
-                   email_address nulls first, phone nulls first) as employee_key, *
+                   email_address nulls first, phone nulls first) as employee_key,
+               * replace (cast(employee_alternate_key as integer) as employee_alternate_key)
         from x_employee""",
     # -- facts ------------------------------------------------------------------
     "k_product": "select product_alternate_key as alt, min(product_key) as product_key from d_product group by 1",
