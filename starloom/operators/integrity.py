@@ -36,17 +36,14 @@ def foreign_key_report(
             .groupBy("constraint_name", "value")
             .agg(F.count(F.lit(1)).alias("n"))
         )
-    parents = _union(
-        [
-            tables[fk.parent].select(
-                F.lit(fk.name).alias("constraint_name"), F.col(fk.parent_key).cast("bigint").alias("value")
-            )
-            for fk in keys
-        ]
-    )
+    parents = []
+    for parent in dict.fromkeys(fk.parent for fk in keys):
+        names = [fk.name for fk in keys if fk.parent == parent]
+        key = F.col(TABLES[parent].key).cast("bigint").alias("value")
+        parents.append(tables[parent].select(F.explode(F.lit(names)).alias("constraint_name"), key))
     lost = (
         _union(children)
-        .join(parents, ["constraint_name", "value"], "left_anti")
+        .join(_union(parents), ["constraint_name", "value"], "left_anti")
         .groupBy("constraint_name")
         .agg(F.sum("n").alias("orphans"))
     )

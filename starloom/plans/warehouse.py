@@ -20,7 +20,7 @@ from .facts import FACT_PLANS, drop_incomplete
 
 log = logging.getLogger(__name__)
 
-CONCURRENT_LOADS = 4  # independent dimensions written at the same time
+CONCURRENT_LOADS = 8  # independent tables written at the same time
 
 
 class ConstraintError(ValueError):

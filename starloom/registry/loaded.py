@@ -7,7 +7,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..model import FACTS
+from ..model import DIMENSIONS, FACTS
 from ..plans.dimensions import prepare
 from ..plans.extracts import LOAD_EXTRACTS, extract_all
 from ..plans.facts import FACT_PLANS, resolve_fact_from_source
@@ -21,7 +21,8 @@ _lock = threading.Lock()
 
 def prepared_dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     files = {"dim_date": calendar_rows(spark, folder), "dim_sales_territory": territory_rows(spark, folder)}
-    return prepare(extract_all(sales_source(spark, folder), AS_OF, LOAD_EXTRACTS).frames, files)
+    wanted = {name: build for name, build in LOAD_EXTRACTS.items() if name in DIMENSIONS}
+    return prepare(extract_all(sales_source(spark, folder), AS_OF, wanted).frames, files)
 
 
 def new_warehouse(spark: SparkSession, label: str) -> Warehouse:
