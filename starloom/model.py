@@ -38,11 +38,14 @@ class Table:
     def is_fact(self) -> bool:
         return self.name.startswith("fact_")
 
+    @property
+    def column_types(self) -> dict[str, str]:
+        key = {self.key: "bigint"} if self.generated else {}
+        return key | {c.name: c.type for c in self.columns}
+
     @property
     def schema(self) -> T.StructType:
-        fields = [T.StructField(self.key, T.LongType())] if self.generated else []
-        fields += [T.StructField(c.name, T.DataType.fromDDL(c.type)) for c in self.columns]
-        return T.StructType(fields)
+        return T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in self.column_types.items()))
 
     @property
     def required(self) -> list[str]:
@@ -495,11 +498,9 @@ def conform(df: DataFrame, table: Table) -> DataFrame:
     if unknown:
         raise ValueError(f"{table.name} has no column {unknown}")
     df = apply_defaults(df, table)
-    key = [F.col(table.key).cast("bigint").alias(table.key)] if table.generated and table.key in df.columns else []
-    return df.select(
-        *key,
-        *[
-            (F.col(c.name) if c.name in df.columns else F.lit(None)).cast(c.type).alias(c.name)
-            for c in table.columns
-        ],
+    present = set(df.columns)
+    key = [table.key] if table.generated and table.key in present else []
+    wanted = key + [c.name for c in table.columns]
+    return df.selectExpr(
+        *[f"cast({c if c in present else 'null'} as {table.column_types[c]}) as {c}" for c in wanted]
     )

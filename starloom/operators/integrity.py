@@ -85,16 +85,14 @@ def unique_report(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def column_rule_report(df: DataFrame, table: Table) -> DataFrame:
     """Violations of every not-null and length rule of a table, in one aggregate."""
-    rules = [("not null", c, F.count_if(F.col(c).isNull())) for c in table.required if c in df.columns]
-    rules += [
-        (f"length <= {n}", c, F.count_if(F.length(c) > n)) for c, n in table.length_limits.items() if c in df.columns
-    ]
-    counted = df.agg(*[check.alias(f"r{i}") for i, (_, _, check) in enumerate(rules)])
-    rows = [
-        F.struct(F.lit(c).alias("column_name"), F.lit(rule).alias("rule"), F.col(f"r{i}").alias("violations"))
-        for i, (rule, c, _) in enumerate(rules)
-    ]
-    return counted.select(F.lit(table.name).alias("table_name"), F.inline(F.array(*rows)))
+    present = set(df.columns)
+    rules = [(c, "not null", f"{c} is null") for c in table.required if c in present]
+    rules += [(c, f"length <= {n}", f"length({c}) > {n}") for c, n in table.length_limits.items() if c in present]
+    counted = df.selectExpr(*[f"count_if({broken}) as r{i}" for i, (_, _, broken) in enumerate(rules)])
+    rows = ", ".join(
+        f"struct('{c}' as column_name, '{rule}' as rule, r{i} as violations)" for i, (c, rule, _) in enumerate(rules)
+    )
+    return counted.selectExpr(f"'{table.name}' as table_name", f"inline(array({rows}))")
 
 
 def column_rules(tables: Mapping[str, DataFrame]) -> DataFrame:

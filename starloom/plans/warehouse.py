@@ -67,7 +67,7 @@ class Warehouse:
         return status
 
     def _create_table(self, table: Table) -> None:
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema)
+        columns = ", ".join(f"{name} {kind}" for name, kind in table.column_types.items())
         split = f" PARTITIONED BY ({self.partition_facts_by})" if table.is_fact and self.partition_facts_by else ""
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table.name)} ({columns}) USING parquet{split}")
 
@@ -81,9 +81,10 @@ class Warehouse:
 
     def read(self, table: str) -> DataFrame:
         """A loaded table; a missing one reads as empty."""
-        names = TABLES[table].schema.names
+        names = list(TABLES[table].column_types)
         try:
-            return self.spark.read.table(self.name(table)).select(*names)
+            found = self.spark.read.table(self.name(table))
+            return found if found.columns == names else found.select(*names)
         except AnalysisException:
             if self.exists(table):
                 raise
@@ -116,13 +117,15 @@ class Warehouse:
         """
         spec = TABLES[table]
         ready = conform(df, spec)
-        if strict:
+        given = self._given_keys(spec) if not into_empty else []
+        if strict or given:
+            # Checked rows are written first, so that what was checked is what is loaded.
             ready = write_through(ready, f"load-{table}")
+        if strict:
             self._refuse_violations(ready, spec)
-        start = 1
-        if not into_empty:
-            self._refuse_conflicts(ready, spec)
-            start = self._next_key(spec)
+        for keys in given:
+            self._refuse_conflicts(ready, spec, keys)
+        start = 1 if into_empty else self._next_key(spec)
         ready = self._with_keys(ready, spec, start)
         rows = Observation()
         target = self.spark.read.table(self.name(table)).columns
@@ -156,15 +159,17 @@ class Warehouse:
             listed = "; ".join(f"{r['column_name']} {r['rule']}: {r['violations']}" for r in broken)
             raise ConstraintError(f"{spec.name}: {listed}")
 
-    def _refuse_conflicts(self, df: DataFrame, spec: Table) -> None:
-        key_sets = [*spec.unique] + ([(spec.key,)] if not spec.generated else [])
-        if not key_sets or not self.exists(spec.name):
-            return
-        existing = self.read(spec.name)
-        for keys in key_sets:
-            clash = df.select(*keys).join(existing.select(*keys), list(keys), "left_semi").first()
-            if clash is not None:
-                raise ConstraintError(f"{spec.name} already holds {clash.asDict()}")
+    @staticmethod
+    def _given_keys(spec: Table) -> list[list[str]]:
+        """Column sets that come with the rows and must be new to the table."""
+        own = [] if spec.generated else [[spec.key]]
+        return own + [list(keys) for keys in spec.unique]
+
+    def _refuse_conflicts(self, df: DataFrame, spec: Table, keys: list[str]) -> None:
+        # The new rows are the build side: stored rows are filtered, not gathered.
+        clash = self.read(spec.name).select(*keys).join(df.select(*keys), keys, "left_semi").first()
+        if clash is not None:
+            raise ConstraintError(f"{spec.name} already holds {clash.asDict()}")
 
     def load(self, table: str, df: DataFrame, truncate: bool = False, **options) -> int:
         """Truncate first (initial load) or only append (incremental load)."""
