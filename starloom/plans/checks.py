@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..model import FOREIGN_KEYS, TABLES
 from ..operators.integrity import foreign_key_report
+from ..operators.lookup import with_match_marker
+from .dimensions import UNKNOWN_PLACE
 
 
 def table_report(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
@@ -36,6 +38,34 @@ def status_count(report: DataFrame, word: str = "OK") -> DataFrame:
     )
 
 
+def place_matches(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of the place lookups that found a member: ``table_name, total_rows, matched``.
+
+    Geography counts places with a known territory, without the unknown member;
+    customers and resellers count rows that did not fall back to it.
+    """
+    geography = tables["dim_geography"]
+    is_unknown = (F.col("postal_code") == UNKNOWN_PLACE["postal_code"]) & (
+        F.col("country_region_code") == UNKNOWN_PLACE["country_region_code"]
+    )
+    unknown = geography.where(is_unknown)
+    marked = {
+        "dim_geography": with_match_marker(
+            geography.where(~is_unknown), tables["dim_sales_territory"], "sales_territory_key", "_hit"
+        ),
+        "dim_customer": with_match_marker(tables["dim_customer"], unknown, "geography_key", "_miss"),
+        "dim_reseller": with_match_marker(tables["dim_reseller"], unknown, "geography_key", "_miss"),
+    }
+    counts = [
+        df.agg(
+            F.count(F.lit(1)).alias("total_rows"),
+            F.count_if(F.col("_hit") if "_hit" in df.columns else ~F.col("_miss")).alias("matched"),
+        ).select(F.lit(name).alias("table_name"), "total_rows", "matched")
+        for name, df in marked.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def decisive_orphans(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Orphans of the six relationships that decide the outcome."""
     return foreign_key_report(tables, [fk for fk in FOREIGN_KEYS if fk.decides])

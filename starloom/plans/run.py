@@ -68,18 +68,19 @@ def run(
     if missing:
         raise ValueError(f"missing dimensions: {missing}")
 
-    loadable = [name for name in FACTS if name not in extraction.failures]
-    observed = {name: Observation() for name in loadable}
-    dimension_rows, fact_rows = load_warehouse(
-        warehouse,
-        prepared,
-        lambda dims: {name: resolve_fact_from_source(source, dims, FACT_PLANS[name]) for name in loadable},
-        truncate,
-        observed,
-    )
-    matches = {name: seen.get for name, seen in observed.items()}
+    failures = dict(extraction.failures)
+    observed = {name: Observation() for name in FACTS}
+
+    def resolve(dims: Frames) -> Frames:
+        return _resolve_facts(source, dims, failures)
+
+    dimension_rows, fact_rows = load_warehouse(warehouse, prepared, resolve, truncate, observed)
+    matches = {name: observed[name].get for name in fact_rows}
+    for place in checks.place_matches(warehouse.tables()).collect():
+        matches[place["table_name"]] = {"total_rows": place["total_rows"], "place": place["matched"]}
     for name, counts in matches.items():
         _log_matches(name, counts)
+    fact_rows = {name: fact_rows.get(name, 0) for name in FACTS}
 
     report = checks.table_report(
         warehouse.spark, {n: warehouse.read(n) if warehouse.exists(n) else None for n in (*DIMENSIONS, *FACTS)}
@@ -94,10 +95,24 @@ def run(
         table_status={r["table_name"]: r["status"] for r in report},
         orphans={r["constraint_name"]: r["orphans"] for r in orphans},
         matches=matches,
-        failures=extraction.failures,
+        failures=failures,
     )
 
 
+def _resolve_facts(source: Source, dims: Frames, failures: dict[str, str]) -> dict[str, DataFrame]:
+    """Facts that can be planned; the cause of each that cannot goes to ``failures``."""
+    facts = {}
+    for name in FACTS:
+        if name in failures:
+            continue
+        try:
+            facts[name] = resolve_fact_from_source(source, dims, FACT_PLANS[name])
+        except Exception as error:  # one fact must not stop the other
+            failures[name] = f"{type(error).__name__}: {error}"
+            log.error("%s cannot be built: %s", name, failures[name])
+    return facts
+
+
 def _log_matches(table: str, counts: Mapping[str, int]) -> None:
     total = counts["total_rows"]
     for key, matched in counts.items():

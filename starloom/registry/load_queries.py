@@ -128,6 +128,19 @@ def table_report(spark: SparkSession, folder: str) -> DataFrame:
     return checks.table_report(spark, loaded_warehouse(spark, folder)[0].tables())
 
 
+@query(
+    """select 'dim_geography' as table_name, count(*) as total_rows, count(sales_territory_key) as matched
+       from x_geography
+       union all select 'dim_customer', count(*), count(*) filter (geography_key <> (select unknown_key from d_unknown))
+       from d_customer
+       union all select 'dim_reseller', count(*), count(*) filter (geography_key <> (select unknown_key from d_unknown))
+       from d_reseller"""
+)
+def place_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """How many places, customers and resellers found their member."""
+    return checks.place_matches(loaded_dimensions(spark, folder)[0].tables())
+
+
 @query("select 14::bigint as matching, 14::bigint as total")
 def tables_with_rows(spark: SparkSession, folder: str) -> DataFrame:
     """How many tables hold rows, of how many."""

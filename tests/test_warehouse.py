@@ -110,6 +110,9 @@ def test_full_run(spark, warehouse, files, rows):
     seen = report.matches["fact_internet_sales"]
     assert (seen["total_rows"], seen["customer_key"], seen["order_date_key"]) == (8, 6, 6)
 
+    assert report.matches["dim_customer"] == {"total_rows": 4, "place": 2}
+    assert report.matches["dim_geography"] == {"total_rows": 4, "place": 3}
+
     # keys are dense, in order, and resolve to the rows they stand for
     fact = warehouse.read("fact_internet_sales")
     assert fact.select("fact_internet_sales_key").distinct().count() == 4
@@ -136,6 +139,16 @@ def test_partitioned_facts(spark, tmp_path, files):
     made.drop()
 
 
+def test_a_failing_fact_does_not_stop_the_other(spark, warehouse, files):
+    whole = source(spark)
+    tables = {n: (lambda n=n: whole.table(n)) for n in whole.names}
+    tables["Sales.SalesOrderHeader"] = lambda: whole.table("Sales.SalesOrderHeader").drop("SalesPersonID")
+    report = run(warehouse, FrameSource(spark, tables), files, truncate=True, as_of=TODAY)
+    assert list(report.failures) == ["fact_reseller_sales"] and "SalesPersonID" in report.failures["fact_reseller_sales"]
+    assert report.summary["fact_stats"] == {"fact_internet_sales": 4, "fact_reseller_sales": 0}
+    assert report.outcome == "warnings" and report.table_status["fact_reseller_sales"] == "empty"
+
+
 def test_missing_dimension_is_named(spark, warehouse, files):
     whole = source(spark)
     partial = FrameSource(spark, {n: (lambda n=n: whole.table(n)) for n in whole.names if n != "Sales.Currency"})
