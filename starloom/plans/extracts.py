@@ -385,23 +385,31 @@ def order_line_count(source: Source, since: str) -> DataFrame:
     return orders.select("SalesOrderID").join(lines, "SalesOrderID").agg(F.count(F.lit(1)).alias("line_count"))
 
 
-def order_headers(source: Source, online: bool) -> DataFrame:
-    """Orders of one channel with their currency code."""
+def channel_headers(source: Source, online: bool) -> DataFrame:
+    """Orders of one channel with their currency code; store orders keep ``CustomerID``."""
     rates = source.table("Sales.CurrencyRate").select("CurrencyRateID", "ToCurrencyCode")
     extra = [] if online else [F.col("SalesPersonID").alias("employee_alternate_key"), F.col("CustomerID")]
     header = {k: v for k, v in ORDER_HEADER.items() if online or k != "CustomerID"}
-    headers = (
+    return (
         order_headers_of(source, online)
         .select(*ORDER_HEADER_KEPT, *_renamed(header), *extra, "CurrencyRateID")
         .join(rates, "CurrencyRateID", "left")
         .withColumn("currency_alternate_key", F.coalesce("ToCurrencyCode", F.lit(DEFAULT_CURRENCY)))
         .drop("CurrencyRateID", "ToCurrencyCode")
     )
-    if online:
-        return headers
+
+
+def store_customers(source: Source) -> DataFrame:
+    """Customers that buy for a known store: ``CustomerID, reseller_alternate_key``."""
     customers = source.table("Sales.Customer").select("CustomerID", F.col("StoreID").alias("reseller_alternate_key"))
     stores = source.table("Sales.Store").select(F.col("BusinessEntityID").alias("reseller_alternate_key"))
-    return headers.join(customers, "CustomerID").join(stores, "reseller_alternate_key").drop("CustomerID")
+    return customers.join(stores, "reseller_alternate_key")
+
+
+def order_headers(source: Source, online: bool) -> DataFrame:
+    """Orders of one channel; store orders carry the store of their customer."""
+    headers = channel_headers(source, online)
+    return headers if online else headers.join(store_customers(source), "CustomerID").drop("CustomerID")
 
 
 def order_lines(source: Source) -> DataFrame:

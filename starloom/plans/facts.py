@@ -18,7 +18,7 @@ from ..functions.keys import (
 from ..functions.measures import derived_measures
 from ..operators.lookup import lookup_date, resolve
 from ..sources.tables import Source
-from .extracts import DEFAULT_CURRENCY, order_headers, order_lines
+from .extracts import DEFAULT_CURRENCY, channel_headers, order_headers, order_lines, store_customers
 
 # Order date column -> date key column.
 DATE_KEYS = {"OrderDate": "order_date_key", "DueDate": "due_date_key", "ShipDate": "ship_date_key"}
@@ -106,6 +106,15 @@ def resolve_fact(lines: DataFrame, dims: Mapping[str, DataFrame], plan: FactPlan
     return _finish(_line_part(_order_part(lines, dims, plan.order_lookups), dims, plan.line_lookups), plan)
 
 
+def _orders_with_keys(source: Source, dims: Mapping[str, DataFrame], plan: FactPlan) -> DataFrame:
+    """Orders with their keys; store and reseller key reach an order in one join, by its customer."""
+    if plan.online:
+        return _order_part(order_headers(source, online=True), dims, plan.order_lookups)
+    customers = resolve(store_customers(source), dims, [_RESELLER])
+    orders = channel_headers(source, online=False).join(customers, "CustomerID").drop("CustomerID")
+    return _order_part(orders, dims, [lookup for lookup in plan.order_lookups if lookup != _RESELLER])
+
+
 def _lines_with_products(source: Source, dims: Mapping[str, DataFrame], lookups: Sequence[Lookup]) -> DataFrame:
     """Order lines with cost and keys; cost and product key arrive in one join."""
     products = source.table("Production.Product").select(
@@ -129,7 +138,7 @@ def resolve_fact_from_source(source: Source, dims: Mapping[str, DataFrame], plan
     move at most twice: to meet their product, and to meet their order.
     """
     dims = _needed_dims(dims, plan)
-    orders = _order_part(order_headers(source, plan.online), dims, plan.order_lookups)
+    orders = _orders_with_keys(source, dims, plan)
     lines = _lines_with_products(source, dims, plan.line_lookups)
     return _finish(orders.join(lines, "SalesOrderID").drop("SalesOrderID"), plan)
 
