@@ -77,8 +77,11 @@ class JdbcSource:
         self.splits = dict(splits or {})
         self.fetch_size = fetch_size
 
+    def _connection(self) -> dict[str, str]:
+        return {"url": self.url, "fetchsize": str(self.fetch_size), **self.properties}
+
     def options(self, name: str) -> dict[str, str]:
-        options = {"url": self.url, "dbtable": name, "fetchsize": str(self.fetch_size), **self.properties}
+        options = {**self._connection(), "dbtable": name}
         if name in self.splits:
             column, lower, upper, partitions = self.splits[name]
             options |= {
@@ -94,8 +97,7 @@ class JdbcSource:
 
     def query(self, sql: str) -> DataFrame:
         """Rows of a statement the database runs itself."""
-        options = {"url": self.url, "query": sql, "fetchsize": str(self.fetch_size), **self.properties}
-        return self.spark.read.format("jdbc").options(**options).load()
+        return self.spark.read.format("jdbc").options(**self._connection(), query=sql).load()
 
 
 def read_tables(source: Source, names: Sequence[str]) -> list[DataFrame]:

@@ -94,6 +94,22 @@ def test_hot_text_group(spark, hot):
     assert got == {k: f"body {v}" for k, (_, v) in best.items()}
 
 
+def test_generated_keys_spread_a_hot_value(spark, hot, monkeypatch):
+    """A third of the rows share the ordering value, yet no partition holds a third of the rows."""
+    from starloom.operators import surrogate
+
+    facts, _ = hot
+    written = []
+    write = surrogate.write_through
+    monkeypatch.setattr(surrogate, "write_through", lambda df, label: written.append(write(df, label)) or written[-1])
+    keyed = surrogate.assign_keys(facts, "key", ["k"])
+    sizes = [r["count"] for r in written[0].groupBy("_part").count().collect()]
+    assert sum(sizes) == ROWS and max(sizes) < ROWS / 3
+    assert keyed.agg(F.countDistinct("key"), F.min("key"), F.max("key")).first() == (ROWS, 1, ROWS)
+    misplaced = keyed.agg(F.max(F.struct("key", "k"))).first()[0]
+    assert misplaced["k"] == 999
+
+
 FOLDER = "/root/testdata/sf0.001"
 
 
