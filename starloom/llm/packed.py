@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 NO_ID = np.iinfo(np.int64).max  # stands for a null doc_id: later than every other
 SHIFT = np.uint64(32)
 REST = np.uint64(0xFFFFFFFF)
-SMALL_BATCH, LARGE_BATCH, MANY = 1 << 20, 16 << 20, 1024
+SMALL_BATCH, LARGE_BATCH, MANY, BATCHES_A_BUCKET = 1 << 20, 16 << 20, 1024, 4
 
 PARTS = "bucket int, batch int, payload binary"
 REPLIES = "batch int, bucket int, payload binary"
@@ -32,10 +32,14 @@ _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def batch_count(df: DataFrame, text: str) -> int:
-    """Batches of about a megabyte of text; beyond a thousand of them they grow, up to sixteen megabytes."""
+def batch_counts(df: DataFrame, text: str) -> tuple[int, int]:
+    """Batches of about a megabyte of text (beyond a thousand they grow, up to sixteen megabytes), and buckets.
+
+    A bucket serves several batches' worth of keys: the packed rows between them are as many as their product.
+    """
     total = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    return max(1, min(-(-total // SMALL_BATCH), max(MANY, -(-total // LARGE_BATCH))))
+    batches = max(1, min(-(-total // SMALL_BATCH), max(MANY, -(-total // LARGE_BATCH))))
+    return batches, -(-batches // BATCHES_A_BUCKET)
 
 
 def in_batches(df: DataFrame, key: str, batches: int) -> DataFrame:
