@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from . import (
     chat_format,
     length_packing,
+    page_difference,
     quality_outliers,
     simhash_dedup,
     source_mixing,
     substring_dedup,
     suffix_dedup,
     topk_search,
+    toxicity_cnn,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +73,12 @@ def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op2_page_difference(spark: SparkSession, folder: str) -> DataFrame:
+    out = page_difference.main_texts(table(spark, folder, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_shared")
+
+
 @query()
 def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     out = source_mixing.mix(table(spark, folder, "documents"))
@@ -170,3 +178,8 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(loss, 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query()
+def op10_toxicity_cnn(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_cnn.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
