@@ -8,7 +8,7 @@ Buckets answer the batches in the same form.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +71,16 @@ def text_buffer(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def in_steps(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in steps of about a megabyte of text; a longer text is a step of its own."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends, at = np.cumsum(lengths), 0
+    while at < len(lengths):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] - lengths[at] + SMALL_BATCH, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def string_array(data: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
     buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]
     return pa.Array.from_buffers(kind, len(offsets) - 1, buffers)

@@ -76,7 +76,7 @@ def with_statistics(docs: DataFrame, text_col: str, keep: list[str]) -> DataFram
     schema = T.StructType([*kept.schema.fields[:-1], *(T.StructField(s, T.LongType()) for s in STATISTICS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (step for whole in batches for step in p.in_steps(whole, whole.num_columns - 1)):
             values = [pa.array(np.asarray(x, np.int64)) for x in text_statistics(b.column(b.num_columns - 1))]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *values], names=schema.names)
 
