@@ -16,6 +16,7 @@ OPEN, MIDDLE, CLOSE = "<s>", "[INST]", "</s>"
 LEARNED = "assistant"
 
 _ESCAPE = r"<(?=\\*/?s>)|\[(?=\\*/?INST\])"
+_CONTROL = r"</?s>|\[/?INST\]"
 _UNESCAPE = r"(<(?=\\+/?s>)|\[(?=\\+/?INST\]))\\"
 
 
@@ -32,14 +33,15 @@ def rendered(role: Column, text: Column) -> Column:
 
 
 def parsed(formatted: Column) -> Column:
-    """The turns of a formatted conversation: array of struct(role, text)."""
+    """The turns of a formatted conversation: array of struct(role, text), null where a control string stands inside."""
     blocks = F.slice(F.split(formatted, CLOSE), F.lit(1), F.greatest(F.lit(0), F.size(F.split(formatted, CLOSE)) - 1))
 
     def turn(block: Column) -> Column:
         at = F.instr(block, MIDDLE)
         role = F.substring(block, F.lit(len(OPEN) + 1), at - len(OPEN) - 1)
         text = F.substring(block, at + len(MIDDLE), F.length(block))
-        return F.struct(unescaped(role).alias("role"), unescaped(text).alias("text"))
+        read = [F.when(~x.rlike(_CONTROL), unescaped(x)).alias(n) for x, n in ((role, "role"), (text, "text"))]
+        return F.struct(*read)
 
     return F.transform(blocks, turn)
 

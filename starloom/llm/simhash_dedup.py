@@ -185,7 +185,7 @@ def links(marks: DataFrame, distance: int, buckets: int) -> DataFrame:
 
 
 def components_of(marked: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """For a written table of ``doc_id`` and ``mark``: each mark with its component's smallest doc_id."""
+    """For a written table of ``doc_id`` and ``mark``: each mark with its component's smallest mark and smallest doc_id."""
     buckets = max(1, -(-marked.count() // PER_BUCKET))
     marks = write_through(marked.groupBy("mark").agg(F.min("doc_id").alias("first")), "marks")
     roots = component_roots(links(marks, distance, buckets))
@@ -194,7 +194,7 @@ def components_of(marked: DataFrame, distance: int = DISTANCE) -> DataFrame:
     )
     rooted = write_through(rooted, "rooted")
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return write_through(rooted.join(write_through(least, "least"), "root").select("mark", "component_id"), "components")
+    return write_through(rooted.join(write_through(least, "least"), "root").select("mark", "root", "component_id"), "components")
 
 
 def near_duplicates(
@@ -231,8 +231,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     whole = with_fingerprint(docs, text_col, mark)
     marked = write_through(whole.select(F.col(id_col).alias("doc_id"), F.col(mark).alias("mark")), "fingerprints")
     components = components_of(marked)
-    first = marked.join(components, "mark").filter("doc_id = component_id").groupBy("doc_id").agg(F.min("mark").alias("mark"))
+    first = marked.join(components, "mark").filter("doc_id = component_id")
+    first = first.groupBy("root", "doc_id").agg(F.min("mark").alias("mark"))
     same = (whole[id_col] == first["doc_id"]) & (whole[mark] == first["mark"])
-    named = whole.join(first, same, "left_semi").dropDuplicates([id_col])
+    named = whole.join(first, same, "left_semi").dropDuplicates([id_col, mark])
     unnamed = components.filter("component_id IS NULL").select(F.col("mark").alias(mark))
     return named.union(whole.filter(F.col(id_col).isNull()).join(unnamed, mark, "left_semi").select(*whole.columns)).drop(mark)

@@ -68,6 +68,10 @@ def fitted(lengths: list[int], counts: list[int], budget: int) -> list[int]:
         if not before >> at & 1:
             taken[i] += part
             at -= part * lengths[i]
+    gap = budget - sum(n * t for n, t in zip(lengths, taken, strict=True))
+    more = [i for i in order if taken[i] < counts[i] and lengths[i] < 2 * gap]
+    if more:  # one document more comes nearer, though beyond the budget
+        taken[min(more, key=lambda i: abs(lengths[i] - gap))] += 1
     return taken
 
 

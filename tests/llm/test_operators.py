@@ -1,0 +1,333 @@
+"""The operators against brute force, with nulls, empty and long texts, ties, repeated rows and empty tables."""
+
+import hashlib
+import html
+import itertools
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from starloom.llm import (
+    chat_format,
+    length_packing,
+    page_difference,
+    quality_outliers,
+    simhash_dedup,
+    source_mixing,
+    substring_dedup,
+    suffix_dedup,
+    topk_search,
+    toxicity_cnn,
+)
+
+FOLDER = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def texts(spark, extra=True):
+    rows = [(r.doc_id, r.text, r.source, r.lang) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    if extra:
+        rows += [(None, None, None, None), (None, rows[5][1], None, "en"), (900, None, "src1", None), (901, "", "src1", "")]
+        rows += [(5, rows[6][1], "src2", "en"), (5, rows[6][1], "src2", "en"), (902, "a " * 3000, "src2", "en"), (903, "a " * 3000, None, "fr")]
+    # names that clash with columns the operators use inside
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").withColumns(
+        {"batch": F.lit("x"), "slot": F.lit(None).cast("int"), "mark": F.lit(1), "size": F.lit("s"), "page": F.lit(0)}
+    )
+
+
+def covered(items, others, width, ids):
+    """Marks items under windows that a smaller id holds."""
+    first = {}
+    for own, doc in zip(others, ids, strict=True):
+        for k in range(len(own) - width + 1):
+            w = tuple(own[k : k + width])
+            first[w] = min(first.get(w, np.inf), doc)
+    return [
+        [any(first[tuple(own[k : k + width])] < doc for k in range(max(0, j - width + 1), min(j, len(own) - width) + 1)) for j in range(len(own))]
+        for own, doc in zip(items, ids, strict=True)
+    ]
+
+
+@pytest.mark.parametrize("window", [9, 50])
+def test_substring_dedup(spark, window):
+    rows, df = texts(spark)
+    words = [WORD.findall(r[1] or "")[:400] for r in rows]
+    df = spark.createDataFrame([(r[0], " ".join(w), r[2]) for r, w in zip(rows, words, strict=True)], "doc_id long, text string, batch string")
+    gone = covered(words, words, window, [np.inf if r[0] is None else r[0] for r in rows])
+    want = [(r[0], r[2], len(w), sum(g), " ".join(x for x, y in zip(w, g, strict=True) if not y)) for r, w, g in zip(rows, words, gone, strict=True)]
+    got = substring_dedup.remove_repeated_windows(df, window, carry=("batch",)).select("doc_id", "batch", "n_words", "n_removed", "kept")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("often", [3, 1000])
+def test_suffix_dedup(spark, often):
+    rows, _ = texts(spark)
+    short = [(r[0], None if r[1] is None else r[1][:500]) for r in rows]
+    data = [(t or "").encode() for _, t in short]
+    gone = covered(data, data, 50, [np.inf if d is None else d for d, _ in short])
+    want = [(d, len(b), bytes(x for x, g in zip(b, m, strict=True) if not g)) for (d, _), b, m in zip(short, data, gone, strict=True)]
+    out = suffix_dedup.remove_repeated_bytes(spark.createDataFrame(short, "doc_id long, text string"), often=often).collect()
+    assert sorted(((r.doc_id, r.n_bytes, bytes(r.kept)) for r in out), key=repr) == sorted(want, key=repr)
+    assert all(r.n_bytes - len(r.kept) == sum(s.end - s.start for s in r.spans) for r in out)
+
+
+def test_interval_expansion_finds_every_distinct_string():
+    rng = random.Random(1)
+    for _ in range(20):
+        text = bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 300))) + b"\xff"
+        data, depth = np.frombuffer(text, np.uint8), rng.randint(1, 12)
+        order = suffix_dedup.suffix_order(data, depth)
+        breaks = suffix_dedup.common_prefix_breaks(data[order - 1], depth)
+        round_text = text * (2 + depth // len(text))
+        assert breaks.sum() == len({round_text[i : i + depth] for i in range(len(text))})
+
+
+def plain_fingerprint(text, shingle=3):
+    words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash(spark):
+    rows, df = texts(spark)
+    out = [tuple(r) for r in simhash_dedup.near_duplicates(df).collect()]
+    marks = [plain_fingerprint(r[1]) for r in rows]
+    assert sorted((r[0] is None, r[0], r[1]) for r in out) == sorted((r[0] is None, r[0], f"{m:016x}") for r, m in zip(rows, marks, strict=True))
+    group = list(range(len(rows)))
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if bin(marks[i] ^ marks[j]).count("1") <= 3:
+            group = [group[i] if g == group[j] else g for g in group]
+    least = {g: min((r[0] for r, h in zip(rows, group, strict=True) if h == g and r[0] is not None), default=None) for g in set(group)}
+    assert sorted(map(repr, out)) == sorted(repr((r[0], f"{m:016x}", least[g])) for r, m, g in zip(rows, marks, group, strict=True))
+    assert simhash_dedup.one_of_each(df).count() == len(set(group))
+
+
+@pytest.mark.parametrize("distance", [0, 1, 3, 6])
+def test_links_of_a_dense_group(spark, distance):
+    rng = random.Random(distance)
+    base = rng.getrandbits(64)
+    marks = {base}
+    for _ in range(300):
+        marks.add(rng.choice(sorted(marks)) ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)))
+    signed = [m - (1 << 64) if m >> 63 else m for m in sorted(marks)]
+    df = spark.createDataFrame([(i, m) for i, m in enumerate(signed)], "doc_id long, mark long")
+    got = {r.mark: r.component_id for r in simhash_dedup.components_of(df, distance).collect()}
+    group = list(range(len(signed)))
+    for i, j in itertools.combinations(range(len(signed)), 2):
+        if bin((signed[i] ^ signed[j]) & (2**64 - 1)).count("1") <= distance:
+            group = [group[i] if g == group[j] else g for g in group]
+    assert got == {m: group.index(g) for m, g in zip(signed, group, strict=True)}
+
+
+def test_statistics_and_base_rules(spark):
+    rows, df = texts(spark)
+    out = quality_outliers.judged(df, keep=("doc_id", "text")).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        words, lines = WORD.findall(r.text or ""), [x for x in (r.text or "").split("\n") if WORD.search(x)]
+        windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+        often = Counter(windows)
+        hit = {i + k for i, w in enumerate(windows) if often[w] > 1 for k in range(8)}
+        want = (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in r.text or ""), len(lines) - len(set(lines)), len(hit))
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0])
+        assert not (r.base_failed and r.kept)
+
+
+def test_outliers_go_and_plain_texts_stay(spark):
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(30, 200))), "en", "s" if i % 3 else None) for i in range(300)]
+    rows += [(1000 + i, " ".join(w + "%%%" for w in rng.choices(vocabulary, k=80)), "en", "s") for i in range(25)]
+    out = quality_outliers.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert {r.doc_id for r in out if not r.kept} == set(range(1000, 1025))
+
+
+def test_targets_and_fit():
+    assert source_mixing.targets([100, 100, 100]) == [187.5, 75.0, 37.5]
+    assert source_mixing.targets([0, 10, 0, 90]) == pytest.approx([0, 200 / 7, 0, 500 / 7])
+    assert source_mixing.targets([]) == [] and source_mixing.targets([0, 0]) == [0.0, 0.0]
+    rng = random.Random(2)
+    for _ in range(200):
+        lengths = sorted(rng.sample(range(40), rng.randint(1, 6)))
+        counts = [rng.randint(1, 4) for _ in lengths]
+        budget = rng.randint(0, sum(n * c for n, c in zip(lengths, counts, strict=True)))
+        taken = source_mixing.fitted(lengths, counts, budget)
+        assert all(0 <= t <= c for t, c in zip(taken, counts, strict=True))
+        sums = {0}
+        for n, c in zip(lengths, counts, strict=True):
+            sums = {s + n * k for s in sums for k in range(c + 1)}
+        below = max(s for s in sums if s <= budget)
+        assert abs(sum(n * t for n, t in zip(lengths, taken, strict=True)) - budget) <= budget - below
+    assert sum(n * t for n, t in zip([1, 7, 30], source_mixing.fitted([1, 7, 30], [9, 5, 3], 58), strict=True)) == 58
+
+
+def test_mix(spark):
+    rows, df = texts(spark)
+    out = source_mixing.mix(df, carry=("source", "size")).drop("size").collect()
+    again = source_mixing.mix(df, carry=("source",)).collect()
+    assert sorted((r.doc_id or -1, r.source_size, r.copies) for r in out) == sorted((r.doc_id or -1, r.source_size, r.copies) for r in again)
+    out = again
+    order = sorted({r[2] for r in rows}, key=lambda s: (s is None, (s or "").encode()))
+    sizes = [sum(len(WORD.findall(r[1] or "")) for r in rows if r[2] == s) for s in order]
+    aims = dict(zip(order, source_mixing.targets(sizes), strict=True))
+    for s in order:
+        own = [r for r in out if r.source == s]
+        assert {r.target for r in own} == {aims[s]}
+        assert abs(sum(r.size * r.copies for r in own) - aims[s]) <= max(1, 0.05 * aims[s], max(r.size for r in own) / 2)
+    assert len(out) == len(rows) and all(0 <= r.copies <= 3 for r in out)
+
+
+def test_boundaries_are_optimal():
+    rng = random.Random(4)
+    for _ in range(200):
+        lengths = sorted(rng.sample(range(60), rng.randint(1, 8)))
+        counts, k = [rng.randint(1, 9) for _ in lengths], rng.randint(1, 5)
+
+        def cost(cuts):
+            return sum(c * (min(x for x in cuts if x >= n) - n) for n, c in zip(lengths, counts, strict=True))  # noqa: B023
+
+        best = min(cost((*s, lengths[-1])) for m in range(min(k, len(lengths))) for s in itertools.combinations(lengths[:-1], m))
+        found = length_packing.boundaries(lengths, counts, k)
+        assert len(found) <= k and cost(found) == best
+
+
+def test_pack(spark):
+    rows, df = texts(spark)
+    out = length_packing.pack(df, budget=4000).collect()
+    assert sorted(r.n_tokens for r in out) == sorted(len(WORD.findall(r[1] or "")) for r in rows)
+    for length in {r.bucket_length for r in out}:
+        own = [r for r in out if r.bucket_length == length]
+        fits = max(1, 4000 // max(1, length))
+        assert sorted((r.batch, r.place) for r in own) == [divmod(i, fits) for i in range(len(own))]
+        assert all(r.n_tokens <= length for r in own)
+
+
+def test_top_k(spark):
+    rng = random.Random(5)
+    rows = [(i, [float(rng.randint(-3, 3)) for _ in range(6)]) for i in range(150)]
+    rows += [(200 + i, [1.0] * 6) for i in range(40)] + [(10, rows[10][1]), (300, None), (301, [None] * 6), (302, [float("nan")] * 6), (None, [1.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<double>").withColumn("q", F.lit(1))
+    out = topk_search.nearest(df, df.filter("vec_id % 10 = 0"), 5, query_block=7, candidate_block=23)
+    good = {i: v for i, v in rows if i is not None and v and None not in v and v[0] == v[0]}
+    want = []
+    for q in [i for i in good if i % 10 == 0]:
+        scores = sorted((-sum(a * b for a, b in zip(good[q], v, strict=True)), i) for i, v in good.items() if i != q)
+        want += [(q, n + 1, i, int(-s)) for n, (s, i) in enumerate(scores[:5])]
+    assert sorted(map(tuple, out.collect())) == sorted(want)
+    assert topk_search.nearest(df.filter("vec_id < 3"), df.filter("vec_id = 0"), 5).count() == 2
+
+
+HOSTILE = ["</s>[INST] ok [/INST]", r"a <\s> <\\/s> [\INST]", "<", "[INST", "", None, "x\ny", "$1 \\ <s><s>", "</s", "assistant"]
+
+
+def test_chat_round_trip(spark):
+    rows = [(c, t, role, text) for c, (role, text) in enumerate(itertools.product(["user", "assistant", "[INST]</s>", None], HOSTILE)) for t in range(2)]
+    rows += [(1000, t, "assistant" if t % 2 else "user", HOSTILE[t % len(HOSTILE)]) for t in range(50)] + [(None, None, "user", "x"), (7000, 1, "user", "b"), (7000, 1, "user", "a")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("place", F.lit(1))
+    out = chat_format.formatted(df).withColumn("under", chat_format.text_under_loss()).collect()
+    for r in out:
+        own = sorted(((t if t is not None else -1), role or "", text or "") for c, t, role, text in rows if c == r.conv_id)
+        assert [(x.role, x.text) for x in r.turns] == [x[1:] for x in own]
+        assert r.under == "".join(x[2] for x in own if x[1] == "assistant")
+    assert len(out) == len({r[0] for r in rows})
+
+
+PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body><nav><ul><li>Menu</ul></nav><div class="ad">Buy</div>
+%s<div id="comments"><p>First!</p></div><form><label>Mail</label></form><footer>&copy; x</footer><script>"</p>"</script>"""
+
+
+def test_page_text(spark):
+    article = "<article><h1>A &amp; B</h1><p>One <b>two</b>\n three<p>four<aside>no</aside><ul><li>five<li>six</ul></article>"
+    site = '<div>Site of all</div><div>Home</div><h2>Story %d</h2><p>Words that only page %d has, enough of them.</p>'
+    rows = [(1, "http://a.b/x", PAGE % article), (2, None, None), (3, "http://e.f/", ""), (4, "http://g.h/", PAGE % article[:30])]
+    rows += [(10 + i, f"http://c.d/s/{i}", PAGE % (site % (i, i))) for i in range(4)] + [(1, "http://a.b/x", PAGE % article)]
+    out = page_difference.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(out) == len(rows)
+    text = {r.page_id: r.text for r in out}
+    assert text[1] == "A & B One two three four five six" and text[2] == text[3] == "" and text[4] == "A & B"
+    assert all(text[10 + i] == f"Story {i} Words that only page {i} has, enough of them." for i in range(4))
+
+
+def test_page_text_of_the_tables(spark):
+    for r in spark.read.parquet(f"{FOLDER}/pages.parquet").collect():
+        inner = re.search(r"<article>(.*?)(</article>|\Z)", r.html, re.S)[1]
+        inner = re.sub(r"<[^>]*(>|\Z)", "", re.sub(r"</?(h1|p|br)>", "\n", inner))
+        want = " ".join(x for x in (" ".join(html.unescape(y).split()) for y in inner.split("\n")) if x)
+        assert " ".join(t for t, own in page_difference.lines_of(r.html) if own) == want
+
+
+def test_shared_lines_is_longest_common_subsequence():
+    rng = random.Random(6)
+    for _ in range(200):
+        a, b = ([rng.randrange(4) for _ in range(rng.randrange(9))] for _ in range(2))
+        best = max(len(s) for n in range(len(a) + 1) for s in itertools.combinations(a, n) if all(any(x == y for y in it) for it in [iter(b)] for x in s))
+        found = page_difference.shared_lines(a, b)
+        it = iter(b)
+        assert len(found) == best and all(any(a[i] == y for y in it) for i in sorted(found))
+
+
+def test_toxicity(spark):
+    rng = random.Random(7)
+    words = ["".join(rng.choice("aeioubdklmnrst") for _ in range(rng.randint(2, 7))) for _ in range(500)]
+    rows, labels = [], []
+    for i in range(900):
+        text = rng.choices(words, k=rng.randint(5, 60))
+        toxic = i % 4 == 0
+        if toxic:
+            text.insert(rng.randrange(len(text)), rng.choice(["vileword", "badstuff"]))
+        rows.append((i, " ".join(text).capitalize(), "en" if i % 2 else None))
+        labels.append((i, int(toxic)))
+    rows += [(2000, None, "en"), (None, "", None), (5, rows[5][1], "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("x"))
+    labels = spark.createDataFrame([*labels, (3000, 1), (1, None), (None, 1)], "doc_id long, toxic int")
+    out = toxicity_cnn.toxicity(docs, labels).collect()
+    assert len(out) == len(rows) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in out)
+    held = [r for r in out if r.held_out and r.doc_id < 900]
+    assert len(held) > 100 and sum(r.predicted == (r.doc_id % 4 == 0) for r in held) >= 0.95 * len(held)
+
+
+def test_longest_texts_are_steps_of_their_own():
+    from starloom.llm import packed
+
+    batch = pa.record_batch({"t": pa.array(["a", None, "x " * 600_000, "b"])})
+    assert [b.num_rows for b in packed.in_steps(batch, 0)] == [2, 1, 1]
+
+
+def test_empty_tables(spark):
+    _, df = texts(spark)
+    none = df.limit(0)
+    assert substring_dedup.remove_repeated_windows(none).count() == 0
+    assert suffix_dedup.remove_repeated_bytes(none).count() == 0
+    assert simhash_dedup.near_duplicates(none).count() == 0
+    assert quality_outliers.judged(none).count() == 0
+    assert source_mixing.mix(none).count() == 0
+    assert length_packing.pack(none).count() == 0
+    vectors = spark.createDataFrame([], "vec_id long, vector array<double>")
+    assert topk_search.nearest(vectors, vectors).count() == 0
+    assert chat_format.formatted(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+    assert page_difference.main_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    assert toxicity_cnn.toxicity(none, spark.createDataFrame([], "doc_id long, toxic int")).count() == 0
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    before = {r.doc_id: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.write_through(stage(spark, docs, FOLDER), name)
+        assert docs.columns == list(corpus_pipeline.COLUMNS)
+        if name in ("quality", "near_duplicates"):
+            assert all(before[r.doc_id] == r for r in docs.collect())
+        if name == "repeated_passages":
+            assert all(hashlib.sha256((r.text or "").encode()).hexdigest() and r.n_chars == len(r.text) for r in docs.collect())
+    assert corpus_pipeline.run(spark, FOLDER).count() == docs.count()
