@@ -46,7 +46,7 @@ def targets(sizes: list[int], weights: tuple[int, ...] = WEIGHTS, most: int = MO
 def fitted(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     """How many documents of each length to take so that their words come as near to ``budget`` as can be found."""
     total = sum(n * c for n, c in zip(lengths, counts, strict=True))
-    taken = [c * budget // total if total else 0 for c in counts]
+    taken = [c * max(0, budget - RESERVE) // total if total else 0 for c in counts]
     left = budget - sum(n * t for n, t in zip(lengths, taken, strict=True))
     order = sorted((i for i in range(len(lengths)) if lengths[i]), key=lambda i: -lengths[i])
     for i in order:
