@@ -30,15 +30,14 @@ STORE_SURVEY = {
     "YearOpened": ("year_opened", "int", None),
 }
 
-_DATE_WIDTH = len("yyyy-MM-dd")
+_DATE = r"^(\d{4}-\d{2}-\d{2})(Z|[+-]\d{2}:\d{2})?$"  # a day, with or without a time zone
 
 
 def _typed(raw: Column, kind: str, width: int | None) -> Column:
     if kind == "string":
         return F.substring(raw, 1, width) if width else raw
     if kind == "date":
-        # An XML date may carry a time zone after the day.
-        return F.substring(F.trim(raw), 1, _DATE_WIDTH).try_cast("date")
+        return F.regexp_extract(F.trim(raw), _DATE, 1).try_cast("date")
     return F.trim(raw).try_cast(kind)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import FOREIGN_KEYS, TABLES
-from ..operators.integrity import foreign_key_report
+from ..operators.integrity import column_rules, foreign_key_report, primary_key_report, unique_report
 from ..operators.lookup import with_match_marker
 from .dimensions import UNKNOWN_PLACE
 
@@ -71,11 +71,19 @@ def decisive_orphans(tables: Mapping[str, DataFrame]) -> DataFrame:
     return foreign_key_report(tables, [fk for fk in FOREIGN_KEYS if fk.decides])
 
 
-def run_outcome(fact_rows: int, keys_intact: bool, tables_ok: int, tables_total: int) -> str:
+def constraint_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``table_name, rule, violations`` of all primary keys, unique columns, not-null and length rules."""
+    keys = primary_key_report(tables).unionByName(unique_report(tables))
+    rules = column_rules(tables).select("table_name", F.concat_ws(" ", "column_name", "rule").alias("rule"), "violations")
+    unique = F.concat(F.lit("unique "), "key").alias("rule")
+    return keys.select("table_name", unique, (F.col("surplus_rows") + F.col("null_rows")).alias("violations")).unionByName(rules)
+
+
+def run_outcome(fact_rows: int, keys_intact: bool, tables_ok: int, tables_total: int, violations: int = 0) -> str:
     """``success``, ``warnings`` (facts exist but a check failed) or ``error`` (no facts)."""
     if fact_rows <= 0:
         return "error"
-    return "success" if keys_intact and tables_ok == tables_total else "warnings"
+    return "success" if keys_intact and tables_ok == tables_total and violations == 0 else "warnings"
 
 
 def run_summary(dimension_rows: Mapping[str, int], fact_rows: Mapping[str, int]) -> dict:
@@ -87,25 +95,30 @@ def run_summary(dimension_rows: Mapping[str, int], fact_rows: Mapping[str, int])
     }
 
 
-def outcome_frame(report: DataFrame, orphans: DataFrame) -> DataFrame:
-    """The outcome as one row, from a table report and the decisive orphan checks."""
+def outcome_frame(report: DataFrame, orphans: DataFrame, constraints: DataFrame) -> DataFrame:
+    """The outcome as one row, from a table report, the decisive orphan checks and the constraint report."""
     facts = F.when(F.col("table_name").startswith("fact_"), F.col("row_count")).otherwise(0)
     tables = report.select(
         F.col("status").contains("OK").cast("int").alias("ok"),
         F.lit(1).alias("listed"),
         facts.alias("fact_rows"),
         F.lit(0).cast("bigint").alias("lost"),
+        F.lit(0).cast("bigint").alias("bad"),
     )
     broken = orphans.where("decides").select(
-        F.lit(0).alias("ok"), F.lit(0).alias("listed"), F.lit(0).cast("bigint").alias("fact_rows"), F.col("orphans").alias("lost")
+        F.lit(0).alias("ok"), F.lit(0).alias("listed"), F.lit(0).cast("bigint").alias("fact_rows"), F.col("orphans").alias("lost"), F.lit(0).cast("bigint").alias("bad")
+    )
+    violated = constraints.select(
+        F.lit(0).alias("ok"), F.lit(0).alias("listed"), F.lit(0).cast("bigint").alias("fact_rows"), F.lit(0).cast("bigint").alias("lost"), F.col("violations").alias("bad")
     )
-    totals = tables.unionByName(broken).agg(
+    totals = tables.unionByName(broken).unionByName(violated).agg(
         F.sum("ok").alias("tables_ok"),
         F.sum("listed").alias("tables_total"),
         F.sum("fact_rows").alias("fact_rows"),
         F.sum("lost").alias("orphans"),
+        F.sum("bad").alias("violations"),
     )
-    whole = (F.col("orphans") == 0) & (F.col("tables_ok") == F.col("tables_total"))
+    whole = (F.col("orphans") == 0) & (F.col("violations") == 0) & (F.col("tables_ok") == F.col("tables_total"))
     return totals.withColumn(
         "outcome", F.when(F.col("fact_rows") <= 0, "error").when(whole, "success").otherwise("warnings")
     )

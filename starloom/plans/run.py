@@ -31,6 +31,8 @@ class RunReport:
     orphans: dict[str, int]
     matches: dict[str, dict[str, int]] = field(default_factory=dict)
     failures: dict[str, str] = field(default_factory=dict)
+    violations: dict[str, int] = field(default_factory=dict)
+    creation: dict[str, str] = field(default_factory=dict)
 
 
 Frames = Mapping[str, DataFrame]
@@ -59,7 +61,7 @@ def run(
     as_of: datetime.date | None = None,
 ) -> RunReport:
     """Build the whole warehouse from its sources and check it."""
-    warehouse.create()
+    creation = warehouse.create()
     extraction = extract_all(source, as_of, LOAD_EXTRACTS)
     for name, cause in extraction.failures.items():
         log.error("extract of %s failed: %s", name, cause)
@@ -88,14 +90,18 @@ def run(
     orphans = foreign_key_report(warehouse.tables()).collect()
     intact = all(r["orphans"] == 0 for r in orphans if r["decides"])
     ok = sum("OK" in r["status"] for r in report)
+    broken = checks.constraint_report(warehouse.tables()).where("violations > 0").collect()
+    violations = {f"{r['table_name']}: {r['rule']}": r["violations"] for r in broken}
     return RunReport(
-        outcome=checks.run_outcome(sum(fact_rows.values()), intact, ok, len(report)),
+        outcome=checks.run_outcome(sum(fact_rows.values()), intact, ok, len(report), sum(violations.values())),
         summary=checks.run_summary(dimension_rows, fact_rows),
         dimension_rows=dimension_rows,
         table_status={r["table_name"]: r["status"] for r in report},
         orphans={r["constraint_name"]: r["orphans"] for r in orphans},
         matches=matches,
         failures=failures,
+        violations=violations,
+        creation=creation,
     )
 
 

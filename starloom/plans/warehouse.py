@@ -118,11 +118,13 @@ class Warehouse:
         spec = TABLES[table]
         ready = conform(df, spec)
         given = self._given_keys(spec) if not into_empty else []
-        if strict or given:
+        if strict or given or not spec.generated:
             # Checked rows are written first, so that what was checked is what is loaded.
             ready = write_through(ready, f"load-{table}")
         if strict:
             self._refuse_violations(ready, spec)
+        if not spec.generated:
+            self._refuse_repeats(ready, spec)
         for keys in given:
             self._refuse_conflicts(ready, spec, keys)
         start = 1 if into_empty else self._next_key(spec)
@@ -159,6 +161,12 @@ class Warehouse:
             listed = "; ".join(f"{r['column_name']} {r['rule']}: {r['violations']}" for r in broken)
             raise ConstraintError(f"{spec.name}: {listed}")
 
+    @staticmethod
+    def _refuse_repeats(df: DataFrame, spec: Table) -> None:
+        twice = df.groupBy(spec.key).count().where("count > 1").first()
+        if twice is not None:
+            raise ConstraintError(f"{spec.name}: {twice['count']} rows have {spec.key} {twice[spec.key]}")
+
     @staticmethod
     def _given_keys(spec: Table) -> list[list[str]]:
         """Column sets that come with the rows and must be new to the table."""
@@ -184,9 +192,15 @@ class Warehouse:
         missing = [name for name in DIMENSIONS if name not in prepared]
         if missing:
             raise ValueError(f"missing dimensions: {missing}")
+        loaded = self.tables()
+        # Whatever refuses its rows does so before anything is emptied or written.
+        for name in [n for n in DIMENSIONS if not TABLES[n].generated]:
+            ready = conform(build_dimension(name, prepared[name], loaded), TABLES[name])
+            self._refuse_repeats(ready, TABLES[name])
+            for keys in [] if truncate else self._given_keys(TABLES[name]):
+                self._refuse_conflicts(ready, TABLES[name], keys)
         if truncate:
             self.truncate(*DIMENSIONS)
-        loaded = self.tables()
 
         def load_one(name: str) -> int:
             df = build_dimension(name, prepared[name], loaded)

@@ -9,8 +9,9 @@ from ..functions.keys import text_keys
 from ..model import DIMENSIONS, TABLES
 from ..operators import integrity
 from ..plans import checks, extracts
+from ..plans.warehouse import ConstraintError
 from .catalog import query
-from .loaded import loaded_dimensions, loaded_warehouse, new_warehouse
+from .loaded import loaded_dimensions, loaded_warehouse, new_warehouse, prepared_dimensions
 from .oracle_tables import LOADED
 from .source_views import sales_source
 
@@ -229,14 +230,39 @@ def column_rules(spark: SparkSession, folder: str) -> DataFrame:
     return integrity.column_rules(loaded_warehouse(spark, folder)[0].tables())
 
 
+_SURPLUS_SQL = " + ".join(
+    f"(select count(*) - count(distinct (sales_order_number, sales_order_detail_id)) from {LOADED[t]})"
+    for t in ("fact_internet_sales", "fact_reseller_sales")
+)
+
+
 @query(
-    """select 14::bigint as tables_ok, 14::bigint as tables_total,
+    f"""select 14::bigint as tables_ok, 14::bigint as tables_total,
               (select count(*) from f_internet_kept) + (select count(*) from f_reseller_kept) as fact_rows,
-              0::bigint as orphans, 'success' as outcome"""
+              0::bigint as orphans, cast(violations as bigint) as violations,
+              case when violations = 0 then 'success' else 'warnings' end as outcome
+       from (select {_SURPLUS_SQL} + (select sum(violations) from ({_rule_sql()})) as violations)"""
 )
 def run_outcome(spark: SparkSession, folder: str) -> DataFrame:
     tables = loaded_warehouse(spark, folder)[0].tables()
-    return checks.outcome_frame(checks.table_report(spark, tables), checks.decisive_orphans(tables))
+    return checks.outcome_frame(
+        checks.table_report(spark, tables), checks.decisive_orphans(tables), checks.constraint_report(tables)
+    )
+
+
+@query(" union all ".join(f"select '{t}' as table_name, count(*) as row_count from {LOADED[t]}" for t in DIMENSIONS))
+def refused_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each dimension after an append that the stored days refuse: as many as before."""
+    warehouse = new_warehouse(spark, "refused")
+    prepared = prepared_dimensions(spark, folder)
+    warehouse.load_dimensions(prepared, truncate=True)
+    try:
+        warehouse.load_dimensions(prepared)
+        raise AssertionError("the append was not refused")
+    except ConstraintError:
+        counts = [(name, warehouse.count(name)) for name in DIMENSIONS]
+    warehouse.drop()
+    return spark.createDataFrame(counts, "table_name string, row_count bigint")
 
 
 @query(

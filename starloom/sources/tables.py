@@ -70,17 +70,21 @@ class JdbcSource:
         properties: Mapping[str, str] | None = None,
         splits: Mapping[str, tuple[str, object, object, int]] | None = None,
         fetch_size: int = 10_000,
+        small: Sequence[str] = (),
     ):
         self.spark = spark
         self.url = url
         self.properties = dict(properties or {})
         self.splits = dict(splits or {})
         self.fetch_size = fetch_size
+        self.small = frozenset(small)
 
     def _connection(self) -> dict[str, str]:
         return {"url": self.url, "fetchsize": str(self.fetch_size), **self.properties}
 
     def options(self, name: str) -> dict[str, str]:
+        if name not in self.splits and name not in self.small:
+            raise ValueError(f"{name} would be read by one task: give its split, or name it as small")
         options = {**self._connection(), "dbtable": name}
         if name in self.splits:
             column, lower, upper, partitions = self.splits[name]

@@ -163,3 +163,10 @@ def test_conform_refuses_unknown_columns(spark):
     with pytest.raises(ValueError, match="extra"):
         conform(df, DIM_CURRENCY)
     assert conform(df.drop("extra"), DIM_CURRENCY).columns == ["currency_alternate_key", "currency_name"]
+
+
+def test_xml_dates_match_whole(spark):
+    days = ["1970-01-01", "1970-01-01Z", " 1970-01-01+02:00 ", "1970-01-012", "1970-01-01nonsense", "1970-13-01"]
+    df = spark.createDataFrame([(i, f"<IndividualSurvey><BirthDate>{d}</BirthDate></IndividualSurvey>") for i, d in enumerate(days)], "i int, doc string")
+    got = [str(r["birth_date"]) for r in xml_fields(df, "doc", PERSON_SURVEY).orderBy("i").collect()]
+    assert got == ["1970-01-01"] * 3 + ["None"] * 3

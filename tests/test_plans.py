@@ -268,8 +268,10 @@ def test_parquet_source_and_table_list(spark, tmp_path):
 
 
 def test_jdbc_options():
-    jdbc = JdbcSource(None, "jdbc:x", {"user": "u"}, {"Sales.Big": ("ID", 1, 100, 8)})
+    jdbc = JdbcSource(None, "jdbc:x", {"user": "u"}, {"Sales.Big": ("ID", 1, 100, 8)}, small=["Sales.Small"])
     assert "partitionColumn" not in jdbc.options("Sales.Small")
+    with pytest.raises(ValueError, match="Sales.Other"):
+        jdbc.options("Sales.Other")
     assert jdbc.options("Sales.Big") | {"x": "y"} == {
         "url": "jdbc:x", "dbtable": "Sales.Big", "fetchsize": "10000", "user": "u", "partitionColumn": "ID",
         "lowerBound": "1", "upperBound": "100", "numPartitions": "8", "x": "y",

@@ -6,6 +6,8 @@ from pathlib import Path
 import pytest
 from compare import connect, duck_rows, spark_rows
 
+from starloom import registry
+
 FOLDER = "/root/testdata/sf0.001"
 
 _spec = importlib.util.spec_from_file_location("entry", Path(__file__).resolve().parents[1] / "__spark_entry__.py")
@@ -22,7 +24,7 @@ def duck():
     connection.close()
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", registry.queries())
 def test_query_equals_its_sql(spark, duck, name):
     columns, rows = spark_rows(entry.queries()[name](spark, FOLDER))
     expected_columns, expected = duck_rows(duck, entry.oracle_sql()[name])
