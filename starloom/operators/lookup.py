@@ -59,6 +59,31 @@ def join_unique(left: DataFrame, right: DataFrame, on: Sequence[str], how: str)
     )
 
 
+def _once(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    return df.groupBy(*on, _spread(*on)).agg(F.lit(True).alias("_found")).select(*on)
+
+
+def join_every(left: DataFrame, right: DataFrame, on: Sequence[str], keys: DataFrame) -> DataFrame:
+    """Left join against a side that may hold many rows of one key.
+
+    AQE never splits the right side of a left join.  So the keys that the right
+    side lacks are given a row without values, and an inner join, which splits on
+    both sides, finds the same rows.  ``keys`` holds at least the keys of ``left``
+    and should be cheap to read.  Null keys match nothing and keep their rows.
+    Keys are texts or whole numbers, these of any width on either side.
+    """
+    on = list(on)
+    held = right.dropna(subset=on)
+    lacking = _once(keys.select(*on), on).join(_once(held.select(*on), on), on, "left_anti")
+    whole = held.unionByName(lacking, allowMissingColumns=True)
+    whole = whole.withColumnsRenamed({c: f"_{c}" for c in on}).withColumn("_of_right", F.xxhash64(*[F.col(f"_{c}").cast("string") for c in on]))
+    same = F.col("_spread") == F.col("_of_right")
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    joined = left.withColumn("_spread", F.xxhash64(*[F.col(c).cast("string") for c in on])).join(whole, same, "inner")
+    return joined.drop("_spread", "_of_right", *[f"_{c}" for c in on])
+
+
 def lookup_key(
     df: DataFrame,
     dim: DataFrame,
@@ -133,9 +158,9 @@ def lookup_composite(
     members = dim.withColumns(fill)
     if fan_out:
         members = members.select(*on, surrogate_key).distinct()  # distinct on more than the join key
+        found = join_every(df.withColumns(fill), members, on, df.withColumns(fill))
     else:
-        members = key_map(members, on, surrogate_key)
-    found = df.withColumns(fill).join(members, on, "left")
+        found = df.withColumns(fill).join(key_map(members, on, surrogate_key), on, "left")
     if default is None:
         return found
     return found.withColumn(surrogate_key, F.coalesce(F.col(surrogate_key), F.lit(default).cast("bigint")))

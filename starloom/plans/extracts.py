@@ -13,7 +13,7 @@ from ..functions.codes import business_type
 from ..functions.xml_fields import PERSON_SURVEY, STORE_SURVEY, xml_fields
 from ..operators.dedupe import keep_first
 from ..operators.history import current_rows, latest_rows, preferred_text
-from ..operators.lookup import join_unique
+from ..operators.lookup import join_every, join_unique
 from ..sources.tables import Source
 
 # Source column -> target column.
@@ -293,12 +293,11 @@ def extract_dim_reseller(source: Source) -> DataFrame:
     the dimension keeps the first.  :func:`first_resellers` gives that first row
     without making the pairs.
     """
-    return (
-        _stores(source)
-        .join(_store_addresses(source), "BusinessEntityID", "left")
-        .join(_store_phones(source), "BusinessEntityID", "left")
-        .withColumnRenamed("BusinessEntityID", "reseller_alternate_key")
-    )
+    stores = _stores(source)
+    joined = stores
+    for side in (_store_addresses(source), _store_phones(source)):
+        joined = join_every(joined, side, ["BusinessEntityID"], stores)
+    return joined.withColumnRenamed("BusinessEntityID", "reseller_alternate_key")
 
 
 def first_resellers(source: Source) -> DataFrame:
@@ -369,7 +368,7 @@ def extract_dim_employee(source: Source, as_of: datetime.date | None = None) ->
     )
     joined = employees.join(people, "person")
     for side in (emails, phones, assigned, paid):
-        joined = joined.join(side, "person", "left")
+        joined = join_every(joined, side, ["person"], employees)
     return joined.drop("person")
 
 

@@ -132,7 +132,7 @@ def place_keys(spark: SparkSession, folder: str) -> DataFrame:
     """select order_id, sales_order_detail_id, unit_price, unit_price_discount_pct, extended_amount,
               standard_cost as product_standard_cost, order_quantity,
               unit_price * unit_price_discount_pct as discount_amount,
-              cast(standard_cost as double) * order_quantity as total_product_cost,
+              cast(standard_cost * order_quantity as decimal(25,4)) as total_product_cost,
               extended_amount - unit_price * unit_price_discount_pct as sales_amount
        from s_detail join s_product using (part_key)"""
 )

@@ -35,6 +35,7 @@ from ..plans.facts import (
     FACT_PLANS,
     INTERNET_SALES,
     RESELLER_SALES,
+    FactPlan,
     build_fact,
     fact_internet_sales,
     fact_reseller_sales,
@@ -99,23 +100,32 @@ def product_key_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return lookup_key(lines, dim, "product_alternate_key", "product_alternate_key", "product_key")
 
 
-@query(
-    """select lookup, total_rows, matched, total_rows - matched as unmatched,
+def _statistics_sql(fact: str, own: str) -> str:
+    keys = f"{own} currency_key sales_territory_key product_key promotion_key order_date_key due_date_key ship_date_key".split()
+    return f"""
+       select lookup, total_rows, matched, total_rows - matched as unmatched,
               matched * 100.0::double / total_rows as match_percent,
               case when matched = 0 then 'error' when total_rows - matched > total_rows * 0.1 then 'warning'
                    else 'ok' end as severity
-       from (unpivot (select count(*) as total_rows, count(customer_key) as customer_key,
-                             count(currency_key) as currency_key, count(sales_territory_key) as sales_territory_key,
-                             count(product_key) as product_key, count(promotion_key) as promotion_key,
-                             count(order_date_key) as order_date_key, count(due_date_key) as due_date_key,
-                             count(ship_date_key) as ship_date_key from f_internet)
-             on customer_key, currency_key, sales_territory_key, product_key, promotion_key, order_date_key,
-                due_date_key, ship_date_key into name lookup value matched)"""
-)
+       from (unpivot (select count(*) as total_rows, {", ".join(f"count({k}) as {k}" for k in keys)} from {fact})
+             on {", ".join(keys)} into name lookup value matched)"""
+
+
+def _statistics(spark: SparkSession, folder: str, plan: FactPlan) -> DataFrame:
+    resolved = resolve_fact_from_source(sales_source(spark, folder), _dims(spark, folder), plan)
+    return match_statistics(resolved, plan.resolved_keys)
+
+
+@query(_statistics_sql("f_internet", "customer_key"))
 def lookup_statistics(spark: SparkSession, folder: str) -> DataFrame:
     """Match statistics of every lookup of the internet fact, in one pass."""
-    resolved = resolve_fact_from_source(sales_source(spark, folder), _dims(spark, folder), INTERNET_SALES)
-    return match_statistics(resolved, INTERNET_SALES.resolved_keys)
+    return _statistics(spark, folder, INTERNET_SALES)
+
+
+@query(_statistics_sql("f_reseller", "reseller_key employee_key"))
+def reseller_lookup_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    """Match statistics of every lookup of the reseller fact, in one pass."""
+    return _statistics(spark, folder, RESELLER_SALES)
 
 
 @query(
@@ -259,7 +269,7 @@ def customer_with_place_key(spark: SparkSession, folder: str) -> DataFrame:
 @query("select cast(reseller_alternate_key as bigint) as reseller_alternate_key, geography_key, phone from d_reseller")
 def reseller_with_place_key(spark: SparkSession, folder: str) -> DataFrame:
     places = _geography(spark, folder)
-    raw = extracts.extract_dim_reseller(sales_source(spark, folder))
+    raw = extracts.first_resellers(sales_source(spark, folder))
     return dim_reseller(raw, places, unknown_place_key(places)).select(
         "reseller_alternate_key", "geography_key", "phone"
     )
@@ -333,6 +343,21 @@ def critical_key_losses(spark: SparkSession, folder: str) -> DataFrame:
     return incomplete_rows(resolved, INTERNET_SALES)
 
 
+@query(
+    """select count(*) as total_rows,
+              count(*) filter (product_key is null or reseller_key is null or employee_key is null
+                               or order_date_key is null) as dropped_rows,
+              count(*) filter (product_key is null) as missing_product_key,
+              count(*) filter (reseller_key is null) as missing_reseller_key,
+              count(*) filter (employee_key is null) as missing_employee_key,
+              count(*) filter (order_date_key is null) as missing_order_date_key
+       from f_reseller"""
+)
+def reseller_key_losses(spark: SparkSession, folder: str) -> DataFrame:
+    resolved = resolve_fact_from_source(sales_source(spark, folder), _dims(spark, folder), RESELLER_SALES)
+    return incomplete_rows(resolved, RESELLER_SALES)
+
+
 def _fact(table: str):
     def build(spark: SparkSession, folder: str) -> DataFrame:
         return build_fact(sales_source(spark, folder), _dims(spark, folder), FACT_PLANS[table])

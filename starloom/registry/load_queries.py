@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import text_keys
-from ..model import DIMENSIONS, TABLES
+from ..model import DIMENSIONS, FACTS, TABLES
 from ..operators import integrity
 from ..plans import checks, extracts
 from ..plans.warehouse import ConstraintError
@@ -44,21 +44,26 @@ def fact_loads(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(list(rows.items()), "table_name string, row_count bigint")
 
 
-_FACT_DECIMALS = ["unit_price", "extended_amount", "product_standard_cost", "total_product_cost", "sales_amount", "tax_amt", "freight"]
+# A stored amount is the value as it is written, rounded half up to four places.
+_AMOUNTS = ", ".join(
+    f"cast(cast({c} as varchar) as decimal(19,4)) as {c}"
+    for c in "unit_price extended_amount total_product_cost sales_amount tax_amt freight".split()
+)
+_STORED = f"""sales_order_number, sales_order_detail_id, product_key, promotion_key, currency_key, sales_territory_key,
+              order_date_key, due_date_key, ship_date_key, order_quantity, revision_number, product_standard_cost,
+              carrier_tracking_number, unit_price_discount_pct, discount_amount, {_AMOUNTS}"""
 
 
-@query(
-    """select sales_order_number, sales_order_detail_id, product_key, customer_key, promotion_key, currency_key,
-              sales_territory_key, order_date_key, due_date_key, ship_date_key, order_quantity, revision_number,
-              product_standard_cost, carrier_tracking_number from f_internet_kept"""
-)
+@query(f"select customer_key, {_STORED} from f_internet_kept")
 def loaded_internet_sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored fact rows, without the amounts that are rounded on storing."""
-    warehouse, _, _ = loaded_warehouse(spark, folder)
-    rounded = [c for c in _FACT_DECIMALS if c != "product_standard_cost"]
-    return warehouse.read("fact_internet_sales").drop(
-        "fact_internet_sales_key", "unit_price_discount_pct", "discount_amount", *rounded
-    )
+    """Stored fact rows, every column but the generated key."""
+    return loaded_warehouse(spark, folder)[0].read("fact_internet_sales").drop("fact_internet_sales_key")
+
+
+@query(f"select reseller_key, employee_key, {_STORED} from f_reseller_kept")
+def loaded_reseller_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored fact rows, every column but the generated key."""
+    return loaded_warehouse(spark, folder)[0].read("fact_reseller_sales").drop("fact_reseller_sales_key")
 
 
 @query(
@@ -101,19 +106,22 @@ def load_modes(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame([counts], ", ".join(f"{n} bigint" for n in names))
 
 
+_EMPTIED = "dim_geography dim_customer dim_reseller fact_internet_sales fact_reseller_sales".split()
+
+
 @query(
-    """select 'dim_customer' as table_name, 0 as rows_left union all select 'dim_geography', 0
-       union all select 'dim_reseller', 0 union all select 'dim_currency', (select count(*) from x_currency)"""
+    " union all ".join(
+        f"select '{t}' as table_name, {'0::bigint' if t in _EMPTIED else f'(select count(*) from {LOADED[t]})'} as rows_left"
+        for t in TABLES
+    )
 )
 def cascading_truncate(spark: SparkSession, folder: str) -> DataFrame:
-    """Emptying a table also empties what refers to it, and nothing else."""
+    """Emptying the places also empties who lives there and both facts, and nothing else."""
     warehouse = new_warehouse(spark, "cascade")
-    loaded = loaded_dimensions(spark, folder)[0]
-    names = ["dim_geography", "dim_customer", "dim_reseller", "dim_currency"]
-    for name in names:
-        warehouse.append(name, loaded.read(name))
+    for name, rows in loaded_warehouse(spark, folder)[0].tables().items():
+        warehouse.append(name, rows, into_empty=True)
     warehouse.truncate("dim_geography")
-    counts = [(name, warehouse.count(name)) for name in names]
+    counts = [(name, warehouse.count(name)) for name in TABLES]
     warehouse.drop()
     return spark.createDataFrame(counts, "table_name string, rows_left bigint")
 
@@ -142,22 +150,44 @@ def place_matches(spark: SparkSession, folder: str) -> DataFrame:
     return checks.place_matches(loaded_dimensions(spark, folder)[0].tables())
 
 
-@query("select 14::bigint as matching, 14::bigint as total")
+@query(f"select count(*) filter (row_count > 0) as matching, count(*) as total from ({_counts_sql(list(TABLES))})")
 def tables_with_rows(spark: SparkSession, folder: str) -> DataFrame:
     """How many tables hold rows, of how many."""
     return checks.status_count(table_report(spark, folder))
 
 
-# Foreign keys in the words of the statement below: constraint, child, column, parent, parent key, decisive.
-def _orphan_sql() -> str:
-    from ..model import FOREIGN_KEYS
+# The expected foreign keys, not taken from the model: constraint, child, column, parent, its key, decides the outcome.
+_EXPECTED_KEYS = """
+    fk_geography_salesterritory dim_geography sales_territory_key dim_sales_territory sales_territory_key false
+    fk_productsubcat_category dim_product_subcategory product_category_key dim_product_category product_category_key false
+    fk_product_subcategory dim_product product_subcategory_key dim_product_subcategory product_subcategory_key false
+    fk_customer_geography dim_customer geography_key dim_geography geography_key false
+    fk_reseller_geography dim_reseller geography_key dim_geography geography_key false
+    fk_fis_currency fact_internet_sales currency_key dim_currency currency_key false
+    fk_fis_customer fact_internet_sales customer_key dim_customer customer_key true
+    fk_fis_orderdate fact_internet_sales order_date_key dim_date date_key true
+    fk_fis_duedate fact_internet_sales due_date_key dim_date date_key false
+    fk_fis_shipdate fact_internet_sales ship_date_key dim_date date_key false
+    fk_fis_product fact_internet_sales product_key dim_product product_key true
+    fk_fis_promotion fact_internet_sales promotion_key dim_promotion promotion_key false
+    fk_fis_salesterritory fact_internet_sales sales_territory_key dim_sales_territory sales_territory_key false
+    fk_frs_currency fact_reseller_sales currency_key dim_currency currency_key false
+    fk_frs_orderdate fact_reseller_sales order_date_key dim_date date_key false
+    fk_frs_duedate fact_reseller_sales due_date_key dim_date date_key false
+    fk_frs_shipdate fact_reseller_sales ship_date_key dim_date date_key false
+    fk_frs_employee fact_reseller_sales employee_key dim_employee employee_key true
+    fk_frs_product fact_reseller_sales product_key dim_product product_key true
+    fk_frs_promotion fact_reseller_sales promotion_key dim_promotion promotion_key false
+    fk_frs_reseller fact_reseller_sales reseller_key dim_reseller reseller_key true
+    fk_frs_salesterritory fact_reseller_sales sales_territory_key dim_sales_territory sales_territory_key false"""
+
 
+def _orphan_sql() -> str:
     return " union all ".join(
-        f"select '{fk.name}' as constraint_name, '{fk.child}' as child, '{fk.parent}' as parent, "
-        f"{str(fk.decides).lower()} as decides, count(*) as orphans from {LOADED[fk.child]} c "
-        f"left join {LOADED[fk.parent]} p on c.{fk.column} = p.{fk.parent_key} "
-        f"where p.{fk.parent_key} is null and c.{fk.column} is not null"
-        for fk in FOREIGN_KEYS
+        f"select '{name}' as constraint_name, '{child}' as child, '{parent}' as parent, {decides} as decides, "
+        f"count(*) as orphans from {LOADED[child]} c left join {LOADED[parent]} p on c.{column} = p.{key} "
+        f"where p.{key} is null and c.{column} is not null"
+        for name, child, column, parent, key, decides in map(str.split, _EXPECTED_KEYS.split("\n")[1:])
     )
 
 
@@ -175,8 +205,10 @@ def foreign_keys(spark: SparkSession, folder: str) -> DataFrame:
        union all select 'fk_fis_orderdate', count(*) from f_internet_kept where order_date_key >= 20000101
        union all select 'fk_frs_product', count(*)
        from f_reseller_kept join d_product using (product_key) where not finished_goods_flag
-       union all select 'fk_frs_reseller', 0
-       union all select 'fk_frs_employee', 0"""
+       union all select 'fk_frs_reseller', count(*)
+       from f_reseller_kept join d_reseller using (reseller_key) where year_opened is null
+       union all select 'fk_frs_employee', count(*)
+       from f_reseller_kept join d_employee using (employee_key) where not current_flag"""
 )
 def broken_foreign_keys(spark: SparkSession, folder: str) -> DataFrame:
     """The six decisive relationships against dimensions that lost some members."""
@@ -185,14 +217,21 @@ def broken_foreign_keys(spark: SparkSession, folder: str) -> DataFrame:
         "dim_product": tables["dim_product"].where("finished_goods_flag"),
         "dim_customer": tables["dim_customer"].where("title is not null"),
         "dim_date": tables["dim_date"].where("calendar_year < 2000 or calendar_year > 2001"),
+        "dim_reseller": tables["dim_reseller"].where("year_opened is not null"),
+        "dim_employee": tables["dim_employee"].where("current_flag"),
     }
-    report = checks.decisive_orphans(tables).select("constraint_name", "orphans")
-    return report
+    return checks.decisive_orphans(tables).select("constraint_name", "orphans")
 
 
+# The keys of facts are generated with gaps, so SQL states only that they are unique.
 @query(
     " union all ".join(
-        f"select '{t}' as table_name, '{TABLES[t].key}' as key, 0::bigint as surplus_rows, 0::bigint as null_rows" for t in TABLES
+        [
+            f"select '{t}' as table_name, '{TABLES[t].key}' as key, count(*) - count(distinct {TABLES[t].key}) as surplus_rows, "
+            f"count(*) filter ({TABLES[t].key} is null) as null_rows from {LOADED[t]}"
+            for t in DIMENSIONS
+        ]
+        + [f"select '{t}', '{TABLES[t].key}', 0, 0" for t in FACTS]
     )
 )
 def primary_keys(spark: SparkSession, folder: str) -> DataFrame:
@@ -237,11 +276,14 @@ _SURPLUS_SQL = " + ".join(
 
 
 @query(
-    f"""select 14::bigint as tables_ok, 14::bigint as tables_total,
-              (select count(*) from f_internet_kept) + (select count(*) from f_reseller_kept) as fact_rows,
-              0::bigint as orphans, cast(violations as bigint) as violations,
-              case when violations = 0 then 'success' else 'warnings' end as outcome
-       from (select {_SURPLUS_SQL} + (select sum(violations) from ({_rule_sql()})) as violations)"""
+    f"""select tables_ok, tables_total, cast(fact_rows as bigint) as fact_rows, cast(orphans as bigint) as orphans,
+              cast(violations as bigint) as violations,
+              case when fact_rows = 0 then 'error' when violations + orphans = 0 and tables_ok = tables_total then 'success'
+                   else 'warnings' end as outcome
+       from (select count(*) filter (row_count > 0) as tables_ok, count(*) as tables_total,
+                    sum(row_count) filter (table_name like 'fact%') as fact_rows from ({_counts_sql(list(TABLES))})),
+            (select sum(orphans) as orphans from ({_orphan_sql()}) where decides),
+            (select {_SURPLUS_SQL} + (select sum(violations) from ({_rule_sql()})) as violations)"""
 )
 def run_outcome(spark: SparkSession, folder: str) -> DataFrame:
     tables = loaded_warehouse(spark, folder)[0].tables()

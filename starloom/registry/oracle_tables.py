@@ -338,7 +338,7 @@ DEFINITIONS = {
                product_key, customer_key, promotion_key, currency_key, sales_territory_key,
                od.date_key as order_date_key, dd.date_key as due_date_key, sd.date_key as ship_date_key,
                unit_price * unit_price_discount_pct as discount_amount,
-               cast(product_standard_cost as double) * order_quantity as total_product_cost,
+               cast(product_standard_cost * order_quantity as decimal(25,4)) as total_product_cost,
                extended_amount - unit_price * unit_price_discount_pct as sales_amount
         from x_internet x
         left join k_product on cast(x.product_alternate_key as varchar) = k_product.alt
@@ -359,7 +359,7 @@ DEFINITIONS = {
                product_key, reseller_key, employee_key, promotion_key, currency_key, sales_territory_key,
                od.date_key as order_date_key, dd.date_key as due_date_key, sd.date_key as ship_date_key,
                unit_price * unit_price_discount_pct as discount_amount,
-               cast(product_standard_cost as double) * order_quantity as total_product_cost,
+               cast(product_standard_cost * order_quantity as decimal(25,4)) as total_product_cost,
                extended_amount - unit_price * unit_price_discount_pct as sales_amount
         from x_reseller_sales x
         left join k_product on cast(x.product_alternate_key as varchar) = k_product.alt

@@ -90,6 +90,14 @@ def test_measures_are_per_unit_discount(spark):
     assert tuple(second) == (None, None, None)
 
 
+def test_measures_of_decimals_keep_every_digit(spark):
+    kinds = "extended_amount decimal(19,4), product_standard_cost decimal(19,4), order_quantity smallint"
+    df = spark.createDataFrame([(Decimal("123456789012345.6789"), Decimal("123456789012345.6789"), 2)], kinds)
+    got = derived_measures(df).first()
+    assert got["sales_amount"] == Decimal("123456789012345.6789") and got["discount_amount"] == 0
+    assert got["total_product_cost"] == Decimal("246913578024691.3578")
+
+
 def test_measures_without_columns(spark):
     got = derived_measures(spark.createDataFrame([(7.0,)], "extended_amount double")).first()
     assert (got["discount_amount"], got["total_product_cost"], got["sales_amount"]) == (0.0, 0.0, 7.0)

@@ -12,6 +12,7 @@ from starloom.operators import integrity
 from starloom.operators.dedupe import duplicate_keys, duplicate_summary, keep_first
 from starloom.operators.history import current_rows, latest_rows, preferred_text
 from starloom.operators.lookup import (
+    join_every,
     lookup_composite,
     lookup_date,
     lookup_key,
@@ -248,3 +249,11 @@ def test_load_order_and_dependants():
     }
     assert len(model.FOREIGN_KEYS) == 22 and sum(fk.decides for fk in model.FOREIGN_KEYS) == 6
     assert len(model.TABLES) == 14
+
+
+def test_join_every_is_a_left_join(spark, rows):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (3, "e")], "k int, v string")
+    right = spark.createDataFrame([(1, 10), (1, 11), (None, 12), (4, 13), (3, None)], "k bigint, w int")
+    got = join_every(left, right, ["k"], left)
+    assert rows(got, "k", "v", "w") == rows(left.join(right, "k", "left"), "k", "v", "w")
+    assert rows(join_every(left, right.limit(0), ["k"], left), "v", "w") == sorted([(v, None) for v in "abcde"], key=repr)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.history import latest_rows, preferred_text
 from starloom.operators.lookup import (
+    join_every,
     join_unique,
     lookup_composite,
     lookup_date,
@@ -58,8 +59,11 @@ def final_plan(df):
         lambda f, d: with_match_marker(f, d, "k"),
         lambda f, d: orphans(f, d.where("k <> 7"), "k", "k"),
         lambda f, d: join_unique(f, d.groupBy("k").agg(F.min("key").alias("key")), ["k"], "left"),
+        lambda f, d: join_every(d, f.select("k", "v", "w"), ["k"], d),
+        lambda f, d: join_every(join_every(d, d.selectExpr("k", "key as other"), ["k"], d), f.select("k", "v", "w"), ["k"], d),
+        lambda f, d: lookup_composite(d.select("t", "u"), f.selectExpr("t", "u", "w as key"), ["t", "u"], "key", fan_out=True),
     ],
-    ids=["number", "text", "date", "default", "composite", "marker", "orphans", "unique"],
+    ids=["number", "text", "date", "default", "composite", "marker", "orphans", "unique", "right", "right of a chain", "fan-out"],
 )
 def test_hot_keys_are_split(hot, join):
     facts, dim = hot
