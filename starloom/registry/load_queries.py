@@ -206,7 +206,7 @@ def foreign_keys(spark: SparkSession, folder: str) -> DataFrame:
        union all select 'fk_frs_product', count(*)
        from f_reseller_kept join d_product using (product_key) where not finished_goods_flag
        union all select 'fk_frs_reseller', count(*)
-       from f_reseller_kept join d_reseller using (reseller_key) where year_opened is null
+       from f_reseller_kept join d_reseller using (reseller_key) where number_employees % 2 <> 0
        union all select 'fk_frs_employee', count(*)
        from f_reseller_kept join d_employee using (employee_key) where not current_flag"""
 )
@@ -217,7 +217,7 @@ def broken_foreign_keys(spark: SparkSession, folder: str) -> DataFrame:
         "dim_product": tables["dim_product"].where("finished_goods_flag"),
         "dim_customer": tables["dim_customer"].where("title is not null"),
         "dim_date": tables["dim_date"].where("calendar_year < 2000 or calendar_year > 2001"),
-        "dim_reseller": tables["dim_reseller"].where("year_opened is not null"),
+        "dim_reseller": tables["dim_reseller"].where("number_employees % 2 = 0"),
         "dim_employee": tables["dim_employee"].where("current_flag"),
     }
     return checks.decisive_orphans(tables).select("constraint_name", "orphans")
