@@ -38,6 +38,15 @@ class Table:
     def is_fact(self) -> bool:
         return self.name.startswith("fact_")
 
+    @property
+    def business_key(self) -> tuple[str, ...]:
+        """What tells a row from the others in its source; a place has nothing but all its columns."""
+        if self.unique:
+            return self.unique[0]
+        if not self.generated:
+            return (self.key,)
+        return tuple(c.name for c in self.columns if c.name.endswith("_alternate_key")) or self.order_by
+
     @property
     def column_types(self) -> dict[str, str]:
         key = {self.key: "bigint"} if self.generated else {}

@@ -24,17 +24,21 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colu
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with their row count and surplus rows."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .where("row_count > 1")
-        .withColumn("surplus", F.col("row_count") - 1)
-    )
+    return duplicates_counted(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")))
+
+
+def duplicates_counted(counted: DataFrame) -> DataFrame:
+    """The same from the ``row_count`` of every key."""
+    return counted.where("row_count > 1").withColumn("surplus", F.col("row_count") - 1)
 
 
 def duplicate_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: duplicated keys, rows that share a key, and surplus rows."""
-    return duplicate_keys(df, keys).agg(
+    return summary_of(duplicate_keys(df, keys))
+
+
+def summary_of(duplicates: DataFrame) -> DataFrame:
+    return duplicates.agg(
         F.count(F.lit(1)).alias("duplicated_keys"),
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows_sharing_a_key"),
         F.coalesce(F.sum("surplus"), F.lit(0)).alias("surplus_rows"),

@@ -43,12 +43,21 @@ def match_statistics(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def observe_matches(df: DataFrame, keys: Sequence[str], observation: Observation) -> DataFrame:
-    """Count rows and matches while another action runs the plan.
-
-    Place it on the finished rows, after every lookup, so the counts belong to
-    the stage that writes and are exact even if an earlier stage is rerun.
+def observe_matches(
+    df: DataFrame, keys: Sequence[str], observation: Observation, critical: Sequence[str] = ()
+) -> DataFrame:
+    """Count rows, matches and rows that lack a ``critical`` key while another action runs the plan.
+
+    Place it on the finished rows, after every lookup and every exchange, so the
+    counts belong to the stage that writes and are exact even if an earlier stage
+    is rerun.
     """
+    lacking = F.lit(False)
+    for key in critical:
+        lacking = lacking | F.col(key).isNull()
     return df.observe(
-        observation, F.count(F.lit(1)).alias("total_rows"), *[F.count(k).alias(k) for k in keys]
+        observation,
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(lacking).alias("dropped_rows"),
+        *[F.count(k).alias(k) for k in keys],
     )

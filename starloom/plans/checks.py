@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import FOREIGN_KEYS, TABLES
+from ..functions.keys import normalize_key
+from ..operators.dedupe import duplicate_summary
 from ..operators.integrity import column_rules, foreign_key_report, primary_key_report, unique_report
 from ..operators.lookup import with_match_marker
 from .dimensions import UNKNOWN_PLACE
+from .facts import FACT_PLANS
 
 
 def table_report(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
@@ -79,6 +82,23 @@ def constraint_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     return keys.select("table_name", unique, (F.col("surplus_rows") + F.col("null_rows")).alias("violations")).unionByName(rules)
 
 
+def duplicate_lookup_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Alternate keys that stand for several rows, for each lookup of the facts.
+
+    ``table_name, alternate_key, duplicated_keys, rows_sharing_a_key, surplus_rows``.  A lookup takes the
+    lowest key of such rows.  Null keys are never looked up and do not count.
+    """
+    looked_up = dict.fromkeys((name, alternate) for plan in FACT_PLANS.values() for name, alternate, _ in plan.lookups)
+    reports = []
+    for name, alternate in looked_up:
+        keys = tables[name].select(alternate)
+        if name == "dim_product":
+            keys = normalize_key(keys, alternate)
+        summary = duplicate_summary(keys.where(F.col(alternate).isNotNull()), [alternate])
+        reports.append(summary.select(F.lit(name).alias("table_name"), F.lit(alternate).alias("alternate_key"), "*"))
+    return reduce(DataFrame.unionByName, reports)
+
+
 def run_outcome(fact_rows: int, keys_intact: bool, tables_ok: int, tables_total: int, violations: int = 0) -> str:
     """``success``, ``warnings`` (facts exist but a check failed) or ``error`` (no facts)."""
     if fact_rows <= 0:

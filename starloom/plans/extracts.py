@@ -286,6 +286,16 @@ def _store_phones(source: Source) -> DataFrame:
     return source.table("Sales.vStoreWithContacts").select("BusinessEntityID", F.col("PhoneNumber").alias("phone"))
 
 
+def _first_phones(source: Source) -> DataFrame:
+    """The first phone of each store, nulls first."""
+    return (
+        _store_phones(source)
+        .groupBy("BusinessEntityID")
+        .agg(F.min("phone").alias("least"), F.count_if(F.col("phone").isNull()).alias("unnamed"))
+        .select("BusinessEntityID", F.when(F.col("unnamed") == 0, F.col("least")).alias("phone"))
+    )
+
+
 def extract_dim_reseller(source: Source) -> DataFrame:
     """Stores with address, contact phones and survey fields.
 
@@ -306,21 +316,38 @@ def first_resellers(source: Source) -> DataFrame:
     The first pair of phone and address is the first phone with the first
     address, so each side is reduced to one row per store before the join.
     """
-    phones = (
-        _store_phones(source)
-        .groupBy("BusinessEntityID")
-        .agg(F.min("phone").alias("least"), F.count_if(F.col("phone").isNull()).alias("unnamed"))
-        .select("BusinessEntityID", F.when(F.col("unnamed") == 0, F.col("least")).alias("phone"))
-    )
     places = keep_first(_store_addresses(source), ["BusinessEntityID"], [c for c in RESELLER_ORDER if c != "phone"])
     return (
         _stores(source)
         .join(places, "BusinessEntityID", "left")
-        .join(phones, "BusinessEntityID", "left")
+        .join(_first_phones(source), "BusinessEntityID", "left")
         .withColumnRenamed("BusinessEntityID", "reseller_alternate_key")
     )
 
 
+def resellers_by_address(source: Source) -> DataFrame:
+    """The rows of :func:`extract_dim_reseller` that hold their store's first phone, one per address."""
+    stores = _stores(source)
+    placed = join_every(stores, _store_addresses(source), ["BusinessEntityID"], stores)
+    return placed.join(_first_phones(source), "BusinessEntityID", "left").withColumnRenamed(
+        "BusinessEntityID", "reseller_alternate_key"
+    )
+
+
+def reseller_row_counts(source: Source) -> DataFrame:
+    """How many rows :func:`extract_dim_reseller` has per store, from counts of each side."""
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("BusinessEntityID").agg(F.count(F.lit(1)).alias(name))
+
+    stores = counted(source.table("Sales.Store").where(F.col("BusinessEntityID").isNotNull()), "stores")
+    sides = counted(_store_addresses(source), "places"), counted(_store_phones(source), "phones")
+    for side in sides:
+        stores = stores.join(side, "BusinessEntityID", "left")
+    rows = F.col("stores") * F.coalesce("places", F.lit(1)) * F.coalesce("phones", F.lit(1))
+    return stores.select(F.col("BusinessEntityID").alias("reseller_alternate_key"), rows.alias("row_count"))
+
+
 def current_departments(source: Source, as_of: datetime.date | None = None) -> DataFrame:
     return current_rows(source.table("HumanResources.EmployeeDepartmentHistory"), "EndDate", as_of).select(
         "BusinessEntityID", "DepartmentID", "StartDate", "EndDate"

@@ -115,8 +115,10 @@ def _orders_with_keys(source: Source, dims: Mapping[str, DataFrame], plan: FactP
     return _order_part(orders, dims, [lookup for lookup in plan.order_lookups if lookup != _RESELLER])
 
 
-def _lines_with_products(source: Source, dims: Mapping[str, DataFrame], lookups: Sequence[Lookup]) -> DataFrame:
-    """Order lines with cost and keys; cost and product key arrive in one join."""
+def _with_products(
+    lines: DataFrame, source: Source, dims: Mapping[str, DataFrame], lookups: Sequence[Lookup]
+) -> DataFrame:
+    """Lines with cost and keys; cost and product key arrive in one join."""
     products = source.table("Production.Product").select(
         F.col("ProductID").alias("product_id"), F.col("StandardCost").alias("product_standard_cost")
     )
@@ -125,9 +127,8 @@ def _lines_with_products(source: Source, dims: Mapping[str, DataFrame], lookups:
         dims,
         [lookup for lookup in lookups if lookup == _PRODUCT],
     )
-    lines = order_lines(source).withColumnRenamed("product_alternate_key", "product_id")
-    lines = lines.join(keyed, "product_id").drop("product_id")
-    return resolve(lines, dims, [lookup for lookup in lookups if lookup != _PRODUCT])
+    found = lines.withColumnRenamed("product_alternate_key", "product_id").join(keyed, "product_id").drop("product_id")
+    return resolve(found, dims, [lookup for lookup in lookups if lookup != _PRODUCT])
 
 
 def resolve_fact_from_source(source: Source, dims: Mapping[str, DataFrame], plan: FactPlan) -> DataFrame:
@@ -135,12 +136,13 @@ def resolve_fact_from_source(source: Source, dims: Mapping[str, DataFrame], plan
 
     Customer, reseller, employee, currency, territory and dates belong to the
     order, so they are resolved once per order instead of once per line.  Lines
-    move at most twice: to meet their product, and to meet their order.
+    move at most twice: to meet their order, and, those of the fact's channel
+    alone, to meet their product.
     """
     dims = _needed_dims(dims, plan)
     orders = _orders_with_keys(source, dims, plan)
-    lines = _lines_with_products(source, dims, plan.line_lookups)
-    return _finish(orders.join(lines, "SalesOrderID").drop("SalesOrderID"), plan)
+    lines = orders.join(order_lines(source), "SalesOrderID").drop("SalesOrderID")
+    return _finish(_with_products(lines, source, dims, plan.line_lookups), plan)
 
 
 def drop_incomplete(df: DataFrame, plan: FactPlan) -> DataFrame:

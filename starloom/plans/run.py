@@ -15,7 +15,7 @@ from ..operators.statistics import HIGH_MISS_SHARE
 from ..sources.tables import Source
 from . import checks
 from .dimensions import prepare
-from .extracts import LOAD_EXTRACTS, extract_all
+from .extracts import LOAD_EXTRACTS, Extraction, extract_all, extraction_report
 from .facts import FACT_PLANS, resolve_fact_from_source
 from .warehouse import Warehouse
 
@@ -33,6 +33,13 @@ class RunReport:
     failures: dict[str, str] = field(default_factory=dict)
     violations: dict[str, int] = field(default_factory=dict)
     creation: dict[str, str] = field(default_factory=dict)
+    extracted: dict[str, int] = field(default_factory=dict)
+    dropped: dict[str, int] = field(default_factory=dict)
+    duplicate_keys: dict[str, int] = field(default_factory=dict)
+
+    @property
+    def total_extracted(self) -> int:
+        return sum(self.extracted.values())
 
 
 Frames = Mapping[str, DataFrame]
@@ -44,13 +51,16 @@ def load_warehouse(
     resolve: Callable[[Frames], Frames],
     truncate: bool = False,
     observations: Mapping[str, Observation] | None = None,
+    only_new: bool = False,
+    failures: dict[str, str] | None = None,
 ) -> tuple[dict[str, int], dict[str, int]]:
     """Load dimensions, resolve facts against them, load facts; returns the rows of each.
 
     ``resolve`` gets the loaded dimensions: fact keys exist only after that load.
     """
-    dimension_rows = warehouse.load_dimensions(prepared, truncate)
-    return dimension_rows, warehouse.load_facts(resolve(warehouse.tables()), truncate, observations)
+    dimension_rows = warehouse.load_dimensions(prepared, truncate, only_new)
+    facts = resolve(warehouse.tables())
+    return dimension_rows, warehouse.load_facts(facts, truncate, observations, only_new, failures)
 
 
 def run(
@@ -59,12 +69,21 @@ def run(
     files: Frames,
     truncate: bool = False,
     as_of: datetime.date | None = None,
+    only_new: bool = False,
 ) -> RunReport:
-    """Build the whole warehouse from its sources and check it."""
+    """Build the whole warehouse from its sources and check it.
+
+    Without ``truncate`` rows are appended, and stored keys are refused; with
+    ``only_new`` stored business keys are left out instead, so that a run over
+    grown sources adds what is new.  A fact that fails is reported and does not
+    stop the other.  ``extracted`` counts dimension rows in one job of their own and
+    fact rows while they are written.
+    """
     creation = warehouse.create()
     extraction = extract_all(source, as_of, LOAD_EXTRACTS)
     for name, cause in extraction.failures.items():
         log.error("extract of %s failed: %s", name, cause)
+    raw = {**extraction.frames, **files}
     prepared = prepare(extraction.frames, files)
     missing = {n: extraction.failures.get(n, "not given") for n in DIMENSIONS if n not in prepared}
     if missing:
@@ -76,8 +95,15 @@ def run(
     def resolve(dims: Frames) -> Frames:
         return _resolve_facts(source, dims, failures)
 
-    dimension_rows, fact_rows = load_warehouse(warehouse, prepared, resolve, truncate, observed)
-    matches = {name: observed[name].get for name in fact_rows}
+    dimension_rows, fact_rows = load_warehouse(warehouse, prepared, resolve, truncate, observed, only_new, failures)
+    matches = {name: dict(observed[name].get) for name in fact_rows}
+    dropped = {name: counts.pop("dropped_rows") for name, counts in matches.items()}
+    counted = extraction_report(warehouse.spark, Extraction({n: raw[n] for n in DIMENSIONS}, {})).collect()
+    extracted = {r["table_name"]: r["row_count"] for r in counted}
+    extracted |= {name: counts["total_rows"] for name, counts in matches.items()}
+    for name, rows in dropped.items():
+        if rows:
+            log.warning("%s: %d rows without a critical key were dropped", name, rows)
     for place in checks.place_matches(warehouse.tables()).collect():
         matches[place["table_name"]] = {"total_rows": place["total_rows"], "place": place["matched"]}
     for name, counts in matches.items():
@@ -92,8 +118,12 @@ def run(
     ok = sum("OK" in r["status"] for r in report)
     broken = checks.constraint_report(warehouse.tables()).where("violations > 0").collect()
     violations = {f"{r['table_name']}: {r['rule']}": r["violations"] for r in broken}
+    repeated = checks.duplicate_lookup_keys(warehouse.tables()).where("duplicated_keys > 0").collect()
+    for r in repeated:
+        log.warning("%s: %d values of %s stand for several rows", r["table_name"], r["duplicated_keys"], r["alternate_key"])
+    held = sum(r["row_count"] for r in report if r["table_name"] in FACTS) if only_new else sum(fact_rows.values())
     return RunReport(
-        outcome=checks.run_outcome(sum(fact_rows.values()), intact, ok, len(report), sum(violations.values())),
+        outcome=checks.run_outcome(held, intact, ok, len(report), sum(violations.values())),
         summary=checks.run_summary(dimension_rows, fact_rows),
         dimension_rows=dimension_rows,
         table_status={r["table_name"]: r["status"] for r in report},
@@ -102,6 +132,9 @@ def run(
         failures=failures,
         violations=violations,
         creation=creation,
+        extracted=extracted,
+        dropped=dropped,
+        duplicate_keys={r["table_name"]: r["duplicated_keys"] for r in repeated},
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,7 +15,7 @@ from ..model import DIMENSIONS, FACTS, TABLES, Table, conform, dependants_of, lo
 from ..operators.integrity import column_rule_report
 from ..operators.statistics import observe_matches
 from ..operators.surrogate import assign_keys, unique_row_keys
-from ..session import write_through
+from ..session import passing_stages, write_through
 from .dimensions import build_dimension
 from .facts import FACT_PLANS, drop_incomplete
 
@@ -107,17 +108,36 @@ class Warehouse:
         self._side_by_side(emptied, lambda name: self.spark.sql(f"TRUNCATE TABLE {self.name(name)}"))
         return emptied
 
-    def append(self, table: str, df: DataFrame, strict: bool = False, into_empty: bool = False) -> int:
+    def append(
+        self,
+        table: str,
+        df: DataFrame,
+        strict: bool = False,
+        into_empty: bool = False,
+        only_new: bool = False,
+        dealt: bool = False,
+    ) -> int:
         """Append rows and return how many were written.
 
         Generated keys continue after the greatest existing key.  A row whose
         given key or unique columns already exist is an error; rows are never
-        updated.  ``strict`` also refuses null or over-long values.  Looking at
-        existing rows is skipped when the table is known to be empty.
+        updated.  ``only_new`` leaves out rows whose business key is stored instead
+        of refusing them.  ``strict`` also refuses null or over-long values.  Looking
+        at existing rows is skipped when the table is known to be empty.  ``dealt``
+        says that the rows are spread for the write already.  Staged rows are removed
+        once they are stored or refused.
         """
-        spec = TABLES[table]
+        with passing_stages(self.spark):
+            return self._append(TABLES[table], df, strict, into_empty, only_new, dealt)
+
+    def _append(
+        self, spec: Table, df: DataFrame, strict: bool, into_empty: bool, only_new: bool, dealt: bool
+    ) -> int:
+        table = spec.name
         ready = conform(df, spec)
         given = self._given_keys(spec) if not into_empty else []
+        if only_new and not into_empty:
+            ready = self._not_stored(ready, spec)
         if strict or given or not spec.generated:
             # Checked rows are written first, so that what was checked is what is loaded.
             ready = write_through(ready, f"load-{table}")
@@ -126,9 +146,10 @@ class Warehouse:
         if not spec.generated:
             self._refuse_repeats(ready, spec)
         for keys in given:
-            self._refuse_conflicts(ready, spec, keys)
+            if not only_new or tuple(keys) != spec.business_key:
+                self._refuse_conflicts(ready, spec, keys)
         start = 1 if into_empty else self._next_key(spec)
-        ready = self._with_keys(ready, spec, start)
+        ready = self._with_keys(ready, spec, start, dealt)
         rows = Observation()
         target = self.spark.read.table(self.name(table)).columns
         ready.observe(rows, F.count(F.lit(1)).alias("n")).select(*target).write.insertInto(self.name(table))
@@ -145,16 +166,25 @@ class Warehouse:
         last = self.read(spec.name).agg(F.max(spec.key).alias("last")).first()["last"]
         return (last or 0) + 1
 
-    def _with_keys(self, df: DataFrame, spec: Table, start: int) -> DataFrame:
-        if spec.is_fact and self.partition_facts_by:
-            # Rebalancing splits hot values and merges small ones; keys come after it.
-            df = df.hint("rebalance", self.partition_facts_by)
+    def _spread(self, df: DataFrame) -> DataFrame:
+        """Rows of one partition value together: rebalancing splits hot values and merges small ones."""
+        return df.hint("rebalance", self.partition_facts_by) if self.partition_facts_by else df
+
+    def _with_keys(self, df: DataFrame, spec: Table, start: int, dealt: bool) -> DataFrame:
+        if spec.is_fact and not dealt:
+            df = self._spread(df)  # keys come after it
         if not spec.generated or spec.key in df.columns:
             return df
         if spec.is_fact:
             return unique_row_keys(df, spec.key, start)
         return assign_keys(df, spec.key, spec.order_by, start)
 
+    def _not_stored(self, df: DataFrame, spec: Table) -> DataFrame:
+        """Rows whose business key the table does not hold; null parts compare as equal."""
+        stored = self.read(spec.name).select(*[F.col(k).alias(f"_{k}") for k in spec.business_key])
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in spec.business_key])
+        return df.join(stored, same, "left_anti")
+
     def _refuse_violations(self, df: DataFrame, spec: Table) -> None:
         broken = column_rule_report(df, spec).where("violations > 0").collect()
         if broken:
@@ -187,8 +217,13 @@ class Warehouse:
 
     # -- whole levels -----------------------------------------------------
 
-    def load_dimensions(self, prepared: Mapping[str, DataFrame], truncate: bool = False) -> dict[str, int]:
-        """Load all dimensions, parents first; independent ones side by side."""
+    def load_dimensions(
+        self, prepared: Mapping[str, DataFrame], truncate: bool = False, only_new: bool = False
+    ) -> dict[str, int]:
+        """Load all dimensions, parents first; independent ones side by side.
+
+        ``only_new`` appends the business keys that are not stored and returns their rows.
+        """
         missing = [name for name in DIMENSIONS if name not in prepared]
         if missing:
             raise ValueError(f"missing dimensions: {missing}")
@@ -197,14 +232,14 @@ class Warehouse:
         for name in [n for n in DIMENSIONS if not TABLES[n].generated]:
             ready = conform(build_dimension(name, prepared[name], loaded), TABLES[name])
             self._refuse_repeats(ready, TABLES[name])
-            for keys in [] if truncate else self._given_keys(TABLES[name]):
+            for keys in [] if truncate or only_new else self._given_keys(TABLES[name]):
                 self._refuse_conflicts(ready, TABLES[name], keys)
         if truncate:
             self.truncate(*DIMENSIONS)
 
         def load_one(name: str) -> int:
             df = build_dimension(name, prepared[name], loaded)
-            return self.append(name, df, into_empty=truncate)
+            return self.append(name, df, into_empty=truncate, only_new=only_new)
 
         rows: dict[str, int] = {}
         for wave in load_order(DIMENSIONS):
@@ -216,19 +251,39 @@ class Warehouse:
         resolved: Mapping[str, DataFrame],
         truncate: bool = False,
         observations: Mapping[str, Observation] | None = None,
+        only_new: bool = False,
+        failures: dict[str, str] | None = None,
     ) -> dict[str, int]:
-        """Drop rows without critical keys and load both facts.
+        """Drop rows without critical keys and load both facts; returns the rows of each.
 
         ``observations`` collects match counts per fact while its rows are written.
+        ``only_new`` leaves out order lines that are stored.  With ``failures``, an
+        error met while the rows of one fact flow is noted there and does not stop
+        the other; a fact that failed has no rows.  Refused rows always raise.
         """
 
         def load_one(name: str) -> int:
             df, plan = resolved[name], FACT_PLANS[name]
+            if truncate:
+                df = self._spread(df)  # below the counts; other loads spread their staged rows
             if observations and name in observations:
-                df = observe_matches(df, plan.resolved_keys, observations[name])
-            return self.load(name, drop_incomplete(df, plan), truncate)
+                df = observe_matches(df, plan.resolved_keys, observations[name], plan.critical)
+            return self.load(name, drop_incomplete(df, plan), truncate, only_new=only_new, dealt=truncate)
 
-        return self._side_by_side([name for name in FACTS if name in resolved], load_one)
+        def load_or_note(name: str) -> int | None:
+            try:
+                return load_one(name)
+            except ConstraintError:
+                raise
+            except Exception as error:  # one fact must not stop the other
+                if failures is None:
+                    raise
+                failures[name] = f"{type(error).__name__}: {error}"
+                log.error("%s was not loaded: %s", name, failures[name])
+                return None
+
+        loaded = self._side_by_side([name for name in FACTS if name in resolved], load_or_note)
+        return {name: rows for name, rows in loaded.items() if rows is not None}
 
     def _side_by_side(self, names: list[str], action: Callable[[str], object]) -> dict:
         """Run one action per table, several at a time."""

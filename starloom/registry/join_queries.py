@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import add_date_keys
 from ..model import DIM_GEOGRAPHY, conform
-from ..operators.dedupe import duplicate_keys, duplicate_summary, keep_first
+from ..operators.dedupe import duplicate_keys, duplicates_counted, keep_first, summary_of
 from ..operators.lookup import (
     lookup_composite,
     lookup_date,
@@ -220,7 +220,8 @@ def _first_resellers(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("select * from d_first_reseller")
 def first_reseller_rows(spark: SparkSession, folder: str) -> DataFrame:
-    raw = extracts.extract_dim_reseller(sales_source(spark, folder))
+    """The first row of each store among its addresses."""
+    raw = extracts.resellers_by_address(sales_source(spark, folder))
     return keep_first(raw, ["reseller_alternate_key"], extracts.RESELLER_ORDER)
 
 
@@ -289,7 +290,8 @@ def duplicate_line_keys(spark: SparkSession, folder: str) -> DataFrame:
        from (select count(*) as n from x_reseller group by reseller_alternate_key having count(*) > 1)"""
 )
 def duplicate_reseller_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return duplicate_summary(extracts.extract_dim_reseller(sales_source(spark, folder)), ["reseller_alternate_key"])
+    """Stores that the reseller extract repeats, from the counts of their contacts."""
+    return summary_of(duplicates_counted(extracts.reseller_row_counts(sales_source(spark, folder))))
 
 
 @query("select order_id, customer_id, person_id, store_id from s_header left join s_customer using (customer_id)")

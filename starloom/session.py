@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +21,7 @@ SETTINGS = {
 }
 
 _local_folder: dict[str, str] = {}
+_stages: ContextVar[str | None] = ContextVar("stages", default=None)
 
 
 def local_session(cores: int | str = "*", memory: str = "8g", **extra: str) -> SparkSession:
@@ -57,7 +61,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_stages.get() or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def passing_stages(spark: SparkSession) -> Iterator[None]:
+    """What this thread writes through inside the block is removed when the block ends."""
+    folder = new_folder(spark, "passing")
+    token = _stages.set(folder)
+    try:
+        yield
+    finally:
+        _stages.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_through(df: DataFrame, label: str = "stage") -> DataFrame:

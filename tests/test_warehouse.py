@@ -187,6 +187,70 @@ def test_refused_loads_change_nothing(spark, warehouse, files):
         warehouse.append("dim_date", doubled["dim_date"], into_empty=True)
 
 
+def test_only_new_rows_are_appended(spark, warehouse, files, rows):
+    whole = source(spark)
+
+    def grown(**replaced):
+        return FrameSource(spark, {n: (lambda n=n: replaced.get(n, whole.table(n))) for n in whole.names})
+
+    orders = whole.table("Sales.SalesOrderHeader")
+    early = grown(**{"Sales.SalesOrderHeader": orders.where("SalesOrderID <> 2")})
+    first = run(warehouse, early, files, truncate=True, as_of=TODAY)
+    assert first.summary["fact_stats"] == {"fact_internet_sales": 2, "fact_reseller_sales": 2}
+    counts = {n: warehouse.count(n) for n in DIMENSIONS}
+    more = {**files, "dim_date": calendar_between(spark, datetime.date(2024, 1, 1), datetime.date(2025, 1, 2))}
+    second = run(warehouse, whole, more, only_new=True, as_of=TODAY)
+    assert second.dimension_rows == {n: 2 if n == "dim_date" else 0 for n in DIMENSIONS}
+    assert second.summary["fact_stats"] == {"fact_internet_sales": 2, "fact_reseller_sales": 0}
+    assert second.outcome == first.outcome and not [r for r in second.violations if "unique" in r]
+    third = run(warehouse, whole, more, only_new=True, as_of=TODAY)
+    assert third.summary["total_fact_records"] == 0 and third.outcome == first.outcome
+    assert {n: warehouse.count(n) for n in DIMENSIONS} == {**counts, "dim_date": counts["dim_date"] + 2}
+    assert warehouse.append("dim_sales_reason", reasons(spark, "Price", "new"), only_new=True) == 1
+    assert rows(warehouse.read("dim_sales_reason"), "sales_reason_key", "sales_reason_name") == [(1, "Price"), (2, "Price")]
+
+
+def test_an_error_while_rows_flow_does_not_stop_the_other_fact(spark, warehouse, files):
+    whole = source(spark)
+    broken = F.when(F.col("OnlineOrderFlag"), F.col("RevisionNumber").cast("string")).otherwise("x")
+    tables = {n: (lambda n=n: whole.table(n)) for n in whole.names}
+    tables["Sales.SalesOrderHeader"] = lambda: whole.table("Sales.SalesOrderHeader").withColumn("RevisionNumber", broken)
+    report = run(warehouse, FrameSource(spark, tables), files, truncate=True, as_of=TODAY)
+    assert list(report.failures) == ["fact_reseller_sales"] and "CAST_INVALID_INPUT" in report.failures["fact_reseller_sales"]
+    assert report.summary["fact_stats"] == {"fact_internet_sales": 4, "fact_reseller_sales": 0}
+    assert report.outcome == "warnings" and list(report.dropped) == ["fact_internet_sales"]
+
+
+def test_the_report_tells_what_was_extracted_and_dropped(spark, warehouse, files):
+    doubled = source(spark)
+    tables = {n: (lambda n=n: doubled.table(n)) for n in doubled.names}
+    tables["Sales.SpecialOffer"] = lambda: doubled.table("Sales.SpecialOffer").union(doubled.table("Sales.SpecialOffer"))
+    report = run(warehouse, FrameSource(spark, tables), files, truncate=True, as_of=TODAY)
+    assert report.duplicate_keys == {"dim_promotion": 1, "dim_employee": 1}
+    assert report.extracted["dim_promotion"] == 2 and report.extracted["fact_internet_sales"] == 8
+    assert report.dropped["fact_internet_sales"] == 4
+    assert report.total_extracted == sum(report.extracted.values()) and set(report.extracted) == set(TABLES)
+
+
+def test_staged_rows_are_removed(spark, warehouse, files, tmp_path, monkeypatch):
+    monkeypatch.setattr("starloom.session.shared_folder", lambda spark: str(tmp_path / "stages"))
+    run(warehouse, source(spark), files, truncate=True, as_of=TODAY)
+    with pytest.raises(ConstraintError):
+        warehouse.append("dim_date", files["dim_date"])
+    assert not list((tmp_path / "stages").glob("*"))
+
+
+def test_facts_meet_products_after_their_channel_is_known(spark, warehouse, files):
+    """Lines of the other channel are never moved to their product."""
+    oltp = source(spark)
+    warehouse.load_dimensions(prepare(extract_all(oltp, TODAY).frames, files), truncate=True)
+    for plan in FACT_PLANS.values():
+        tree = resolve_fact_from_source(oltp, warehouse.tables(), plan)._jdf.queryExecution().analyzed().toString()
+        lines = tree.splitlines()
+        product = next(i for i, x in enumerate(lines) if "Join Inner, (product_id" in x)
+        assert any("SalesOrderID" in x and "Join Inner" in x for x in lines[product:])
+
+
 def test_violations_give_warnings():
     assert checks.run_outcome(5, True, 14, 14, violations=1) == "warnings"
 
