@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -52,12 +53,8 @@ def observe_matches(
     counts belong to the stage that writes and are exact even if an earlier stage
     is rerun.
     """
-    lacking = F.lit(False)
-    for key in critical:
-        lacking = lacking | F.col(key).isNull()
-    return df.observe(
-        observation,
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(lacking).alias("dropped_rows"),
-        *[F.count(k).alias(k) for k in keys],
-    )
+    counts = [F.count(F.lit(1)).alias("total_rows"), *[F.count(k).alias(k) for k in keys]]
+    if critical:
+        lacking = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in critical])
+        counts.append(F.count_if(lacking).alias("dropped_rows"))
+    return df.observe(observation, *counts)
