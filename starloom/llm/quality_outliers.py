@@ -2,9 +2,11 @@
 
 Every text becomes a vector of four transformed statistics.  For each group of equal language and source the
 minimum-covariance-determinant estimate is sought by concentration steps, as Spark aggregates over all its rows that
-pass the base rules: rank rows by Mahalanobis distance, take the closest three quarters, estimate again.  Two starts
-(all rows; median and deviation) are taken, and the estimate of smaller determinant decides.  Distances are ranked in
-fixed bins, and the statistics are whole numbers of ten-thousandths, so sums are exact and reruns agree.
+pass the base rules: rank rows by Mahalanobis distance, take the closest half, estimate again, until no determinant
+falls.  Two starts (all rows; median and deviation) are taken, and after three steps the estimate of smaller
+determinant goes on alone.  It is scaled to normal rows, and estimated once more from all rows that lie near it.  Equal texts count once, so copies of one text
+cannot become the majority, and near copies may be a third of a group; every row is judged.  Distances are ranked in fixed bins, the last of which counts by the share that
+completes the half; the statistics are whole numbers of ten-thousandths, so sums are exact and reruns agree.
 """
 
 from __future__ import annotations
@@ -25,8 +27,9 @@ from . import packed as p
 SPAN = 8  # words of a repeated window
 LEAST_WORDS = 20
 REPEATED = 30  # percent of the words
-COVERAGE = 0.75
-STEPS = 3
+BOTH = 3  # steps of both starts
+FALL, STEPS = 1e-3, 30  # steps end when no logarithm of a determinant falls by more; thirty at most
+NEAR = 0.975  # of normal rows lie within the distance up to which rows enter the last estimate
 UNIT = 10_000
 BINS = 64  # for each doubling of the squared distance
 #: Standard deviations below which no estimate falls, in the order of VECTOR.  They keep the estimate regular where
@@ -111,6 +114,26 @@ def _sums() -> list[Column]:
     ]
 
 
+def _within(x: np.ndarray, more: int = 0) -> np.ndarray:
+    """The chi-square distribution of four degrees (six with ``more`` = 1) up to ``x``."""
+    return 1 - np.exp(-x / 2) * (1 + x / 2 + more * x * x / 8)
+
+
+def _chi_square(share: np.ndarray | float) -> np.ndarray:
+    """Quantiles of the chi-square distribution of four degrees."""
+    low, high = np.zeros(np.shape(share)), np.full(np.shape(share), 200.0)
+    for _ in range(100):
+        middle = (low + high) / 2
+        less = _within(middle) < share
+        low, high = np.where(less, middle, low), np.where(less, high, middle)
+    return (low + high) / 2
+
+
+def _to_normal(share: np.ndarray) -> np.ndarray:
+    """What the covariance of the ``share`` of normal rows nearest to their centre is multiplied with."""
+    return share / _within(_chi_square(share), 1)
+
+
 _SUM_NAMES = ["n", *(f"s{i}" for i in range(4)), *(f"s{i}{j}" for i in range(4) for j in range(i, 4))]
 _ESTIMATE = (
     "lang_key string, source_key string, start int, det double, "
@@ -134,15 +157,19 @@ def _inverted(pdf: pd.DataFrame, centres: np.ndarray, covariances: np.ndarray) -
 
 
 def _from_sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``share`` of the normal rows are in the sums.  Of the sums named e_, ``taken`` rows' worth is added."""
     for pdf in frames:
-        n = pdf["n"].to_numpy(float)
-        centre = np.stack([pdf[f"s{i}"].astype(float).to_numpy() / n for i in range(4)], axis=1)
+        sums = {c: pdf[c].astype(float).to_numpy() for c in _SUM_NAMES}
+        if "taken" in pdf:
+            part = pdf["taken"].astype(float).to_numpy() / pdf["e_n"].astype(float).to_numpy()
+            sums = {c: x + part * pdf[f"e_{c}"].astype(float).to_numpy() for c, x in sums.items()}
+        n = sums["n"]
+        centre = np.stack([sums[f"s{i}"] / n for i in range(4)], axis=1)
         cov = np.zeros((len(pdf), 4, 4))
         for i in range(4):
             for j in range(i, 4):
-                product = pdf[f"s{i}{j}"].astype(float).to_numpy() / n
-                cov[:, i, j] = cov[:, j, i] = product - centre[:, i] * centre[:, j]
-        yield _inverted(pdf, centre, cov)
+                cov[:, i, j] = cov[:, j, i] = sums[f"s{i}{j}"] / n - centre[:, i] * centre[:, j]
+        yield _inverted(pdf, centre, cov * _to_normal(pdf["share"].to_numpy(float))[:, None, None])
 
 
 def _from_medians(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -188,23 +215,38 @@ def _distance(prefix: str = "") -> Column:
 def estimates(rows: DataFrame) -> DataFrame:
     """The estimate of each group of ``rows`` (lang_key, source_key and VECTOR)."""
     groups = ["lang_key", "source_key"]
-    every = rows.groupBy(*groups).agg(*_sums()).withColumn("start", F.lit(0))
+    every = rows.groupBy(*groups).agg(*_sums()).withColumns({"start": F.lit(0), "share": F.lit(1.0)})
     now = write_through(
         every.mapInPandas(_from_sums, _ESTIMATE).union(_medians(rows).mapInPandas(_from_medians, _ESTIMATE)), "estimates"
     )
-    for _ in range(STEPS):
+    for step in range(STEPS):
         bins = F.floor(F.log2(1 + F.greatest(_distance(), F.lit(0.0))) * BINS).alias("bin")
         counted = rows.join(now, groups).groupBy(*groups, "start", bins).agg(*_sums())
         w = Window.partitionBy(*groups, "start")
+        half = F.least("_all", F.floor((F.col("_all") + len(VECTOR) + 1) / 2))
         near = (
             counted.withColumn("_below", F.sum("n").over(w.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)))
             .withColumn("_all", F.sum("n").over(w))
-            .filter(F.coalesce("_below", F.lit(0)) < F.ceil(F.col("_all") * COVERAGE))
+            .withColumn("_taken", half - F.coalesce("_below", F.lit(0)))
+            .filter("_taken > 0")
+        )
+        last = F.col("_taken") <= F.col("n")
+        subset = near.groupBy(*groups, "start").agg(
+            *(F.sum(F.when(last, F.lit(0)).otherwise(F.col(c))).alias(c) for c in _SUM_NAMES),
+            *(F.max(F.when(last, F.col(c))).alias(f"e_{c}") for c in _SUM_NAMES),
+            F.max(F.when(last, F.col("_taken"))).alias("taken"),
+            F.first(half / F.col("_all")).alias("share"),
         )
-        subset = near.groupBy(*groups, "start").agg(*(F.sum(c).alias(c) for c in _SUM_NAMES))
+        before = now.select(*groups, "start", F.col("det").alias("_det"))
         now = write_through(subset.mapInPandas(_from_sums, _ESTIMATE), "estimates")
-    best = Window.partitionBy(*groups).orderBy("det", "start")
-    return write_through(now.withColumn("_r", F.row_number().over(best)).filter("_r = 1").drop("_r"), "estimates")
+        if step + 1 == BOTH:
+            best = Window.partitionBy(*groups).orderBy("det", "start")
+            now = write_through(now.withColumn("_r", F.row_number().over(best)).filter("_r = 1").drop("_r"), "estimates")
+        elif step >= BOTH and now.join(before, [*groups, "start"]).filter(F.col("det") < F.col("_det") - FALL).isEmpty():
+            break
+    close = rows.join(now, groups).filter(_distance() <= float(_chi_square(NEAR)))
+    again = close.groupBy(*groups).agg(*_sums()).withColumns({"start": F.lit(0), "share": F.lit(NEAR)})
+    return write_through(again.mapInPandas(_from_sums, _ESTIMATE), "estimates")
 
 
 def judged(
@@ -228,13 +270,14 @@ def judged(
         *(F.col(c).alias(n) for c, n in zip(keep, names, strict=True)),
         _group(lang_col).alias("lang_key"),
         _group(source_col).alias("source_key"),
+        F.xxhash64(F.col(text_col).cast("string")).alias("text_key"),
         F.col(text_col).alias("_t"),
     )
-    rows = with_statistics(inner, "_t", [*names, "lang_key", "source_key"])
+    rows = with_statistics(inner, "_t", [*names, "lang_key", "source_key", "text_key"])
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED * F.col("n_words"))
     rows = write_through(rows.withColumn("base_failed", failed).select("*", *_vector()), "statistics")
-    passed = rows.filter("NOT base_failed").select("lang_key", "source_key", *VECTOR)
-    found = estimates(passed).drop("start", "det")
+    passed = rows.filter("NOT base_failed").select("lang_key", "source_key", "text_key", *VECTOR).distinct()
+    found = estimates(write_through(passed.drop("text_key"), "texts")).drop("start", "det")
     out = rows.join(found, ["lang_key", "source_key"], "left").withColumn(
         "distance", F.when(~F.col("base_failed"), _distance())
     )

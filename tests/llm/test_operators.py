@@ -153,6 +153,61 @@ def test_outliers_go_and_plain_texts_stay(spark):
     assert {r.doc_id for r in out if not r.kept} == set(range(1000, 1025))
 
 
+def regular(covariance):
+    return covariance + np.diag(np.square(np.array(quality_outliers.FLOORS) * quality_outliers.UNIT))
+
+
+def plain_distances(x, starts=50, share=0.975):
+    """Squared distances by a minimum covariance determinant that random subsets start, reweighted once."""
+
+    def inside(limit, degrees):
+        return 1 - np.exp(-limit / 2) * (1 + limit / 2 + (limit * limit / 8 if degrees == 6 else 0))
+
+    grid, half = np.arange(0, 60, 1e-4), (len(x) + 5) // 2
+    factors = {part: part / inside(grid[np.searchsorted(inside(grid, 4), part)], 6) for part in (half / len(x), share)}
+
+    def scaled(rows, part):
+        return rows.mean(axis=0), regular(np.cov(rows.T, bias=True) * factors.get(part, 1))
+
+    def squared(centre, covariance):
+        return np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(covariance), x - centre)
+
+    rng, found = np.random.default_rng(1), []
+    for _ in range(starts):
+        now = scaled(x[rng.choice(len(x), 6, replace=False)], 1)
+        for _ in range(30):
+            now = scaled(x[np.argsort(squared(*now), kind="stable")[:half]], half / len(x))
+        found.append((np.linalg.slogdet(now[1])[1], now))
+    best = squared(*min(found, key=lambda f: f[0])[1])
+    return squared(*scaled(x[best <= 11.1433], share))
+
+
+@pytest.mark.parametrize("share", [0.26, 0.34])
+def test_a_third_of_a_group_is_no_majority(spark, share):
+    """Distances are those of a plain estimate, and the group of equal rows goes."""
+    rng = np.random.default_rng(8)
+    n, copies = 400, int(400 * share)
+    x = rng.multivariate_normal([16000, 3000, 2000, 500], np.diag([900, 2500, 1200, 1500]) @ (np.eye(4) + 0.3) @ np.diag([900, 2500, 1200, 1500]), n)
+    x[:copies] = [16000, 30000, 2000, 500]
+    x = np.rint(x).astype(int)
+    df = spark.createDataFrame([("=en", "=s", *map(int, r)) for r in x], ["lang_key", "source_key", *quality_outliers.VECTOR])
+    got = df.join(quality_outliers.estimates(df), ["lang_key", "source_key"]).withColumn("d", quality_outliers._distance())
+    got = {tuple(r[v] for v in quality_outliers.VECTOR): r.d for r in got.collect()}
+    want = plain_distances(x)
+    found = np.array([got[tuple(map(int, r))] for r in x])
+    assert np.allclose(found, want, rtol=0.1, atol=0.1)
+    assert (found[:copies] > quality_outliers.CUTOFF).all() and (found[copies:] <= quality_outliers.CUTOFF).mean() > 0.99
+
+
+def test_many_copies_of_a_bad_text_go(spark):
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    spam = " ".join(w + "%%%" for w in rng.choices(vocabulary, k=80))
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(30, 200))) if i >= 200 else spam, "en", "s") for i in range(300)]
+    out = quality_outliers.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert {r.doc_id for r in out if not r.kept} == set(range(200))
+
+
 def test_targets_and_fit():
     assert source_mixing.targets([100, 100, 100]) == [187.5, 75.0, 37.5]
     assert source_mixing.targets([0, 10, 0, 90]) == pytest.approx([0, 200 / 7, 0, 500 / 7])
