@@ -5,7 +5,8 @@ minimum-covariance-determinant estimate is sought by concentration steps, as Spa
 pass the base rules: rank rows by Mahalanobis distance, take the closest half, estimate again, until no determinant
 falls.  Two starts (all rows; median and deviation) are taken, and after three steps the estimate of smaller
 determinant goes on alone.  It is scaled to normal rows, and estimated once more from all rows that lie near it.  Equal texts count once, so copies of one text
-cannot become the majority, and near copies may be a third of a group; every row is judged.  Distances are ranked in fixed bins, the last of which counts by the share that
+cannot become the majority; every row is judged.  Near copies may be a third of a group that spreads about as wide as
+FLOORS; in wider groups so many near copies can have the smaller determinant, as in every such estimate.  Distances are ranked in fixed bins, the last of which counts by the share that
 completes the half; the statistics are whole numbers of ten-thousandths, so sums are exact and reruns agree.
 """
 
@@ -32,10 +33,11 @@ FALL, STEPS = 1e-3, 30  # steps end when no logarithm of a determinant falls by
 NEAR = 0.975  # of normal rows lie within the distance up to which rows enter the last estimate
 UNIT = 10_000
 BINS = 64  # for each doubling of the squared distance
-#: Standard deviations below which no estimate falls, in the order of VECTOR.  They keep the estimate regular where
-#: nearly all rows agree (most texts have no symbol), and say which differences are too small to matter.
-FLOORS = (0.12, 0.20, 0.15, 0.10)
-CUTOFF = 36.0  # squared Mahalanobis distance: six deviations
+#: Standard deviations below which no estimate falls, in the order of VECTOR: in units of them, no direction's deviation
+#: is less than one.  They keep the estimate regular where nearly all rows agree (most texts have no symbol), and say
+#: which differences are too small to matter.  The last two have ranges of 0 to 1 and (after the base rules) 0 to 0.3.
+FLOORS = (0.12, 0.20, 0.10, 0.05)
+CUTOFF = 18.467  # squared Mahalanobis distance: 0.999 of the chi-square distribution of four degrees
 VECTOR = ("v0", "v1", "v2", "v3")
 SYMBOLS = b"#*$%&|<>"
 
@@ -145,7 +147,9 @@ _ESTIMATE = (
 
 def _inverted(pdf: pd.DataFrame, centres: np.ndarray, covariances: np.ndarray) -> pd.DataFrame:
     out = pdf[["lang_key", "source_key", "start"]].copy()
-    covariances = covariances + np.diag(np.square(np.array(FLOORS) * UNIT))
+    floors = np.array(FLOORS) * UNIT
+    sizes, axes = np.linalg.eigh(covariances / np.outer(floors, floors))
+    covariances = np.einsum("nij,nj,nkj->nik", axes, np.maximum(sizes, 1), axes) * np.outer(floors, floors)
     inverse = np.linalg.inv(covariances) if len(out) else covariances
     out["det"] = np.linalg.slogdet(covariances)[1] if len(out) else []
     for i in range(4):

@@ -154,7 +154,10 @@ def test_outliers_go_and_plain_texts_stay(spark):
 
 
 def regular(covariance):
-    return covariance + np.diag(np.square(np.array(quality_outliers.FLOORS) * quality_outliers.UNIT))
+    """No deviation is less than one floor."""
+    floors = np.array(quality_outliers.FLOORS) * quality_outliers.UNIT
+    sizes, axes = np.linalg.eigh(covariance / np.outer(floors, floors))
+    return axes @ np.diag(np.maximum(sizes, 1)) @ axes.T * np.outer(floors, floors)
 
 
 def plain_distances(x, starts=50, share=0.975):
@@ -184,10 +187,10 @@ def plain_distances(x, starts=50, share=0.975):
 
 @pytest.mark.parametrize("share", [0.26, 0.34])
 def test_a_third_of_a_group_is_no_majority(spark, share):
-    """Distances are those of a plain estimate, and the group of equal rows goes."""
+    """Distances are those of a plain estimate, and the group of equal rows goes.  Two statistics spread under their floors."""
     rng = np.random.default_rng(8)
     n, copies = 400, int(400 * share)
-    x = rng.multivariate_normal([16000, 3000, 2000, 500], np.diag([900, 2500, 1200, 1500]) @ (np.eye(4) + 0.3) @ np.diag([900, 2500, 1200, 1500]), n)
+    x = rng.multivariate_normal([16000, 3000, 2000, 500], np.diag([1500, 2500, 800, 400]) @ (np.eye(4) + 0.3) @ np.diag([1500, 2500, 800, 400]), n)
     x[:copies] = [16000, 30000, 2000, 500]
     x = np.rint(x).astype(int)
     df = spark.createDataFrame([("=en", "=s", *map(int, r)) for r in x], ["lang_key", "source_key", *quality_outliers.VECTOR])
@@ -208,6 +211,23 @@ def test_many_copies_of_a_bad_text_go(spark):
     assert {r.doc_id for r in out if not r.kept} == set(range(200))
 
 
+@pytest.mark.parametrize("bad", ["symbols", "word lengths", "lines", "repeats"])
+def test_each_statistic_rejects_by_itself(spark, bad):
+    rng = random.Random(10)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(60, 200))), "en", "s") for i in range(200)]
+    words = rng.choices(vocabulary, k=100)
+    text = {
+        "symbols": " ".join(w + "%%" for w in words),
+        "word lengths": " ".join(w * 3 for w in words),
+        "lines": "\n".join([" ".join(words), *(c for c in "abcdefgh" for _ in range(3))]),
+        "repeats": " ".join(words + words[:16]),
+    }[bad]
+    out = quality_outliers.judged(spark.createDataFrame([*rows, (900, text, "en", "s")], "doc_id long, text string, lang string, source string")).collect()
+    assert [r.base_failed for r in out if r.doc_id == 900] == [False]
+    assert {r.doc_id for r in out if not r.kept} == {900}
+
+
 def test_targets_and_fit():
     assert source_mixing.targets([100, 100, 100]) == [187.5, 75.0, 37.5]
     assert source_mixing.targets([0, 10, 0, 90]) == pytest.approx([0, 200 / 7, 0, 500 / 7])
