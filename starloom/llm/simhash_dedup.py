@@ -225,15 +225,13 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component: that of the smallest id, of equal ids that of the smallest fingerprint.
 
-    Where no row of a component has an id, all its rows stay.
+    Where no row of a component has an id, one of the smallest fingerprint and text hash stays.
     """
-    mark = "_fingerprint_of_text"
-    whole = with_fingerprint(docs, text_col, mark)
-    marked = write_through(whole.select(F.col(id_col).alias("doc_id"), F.col(mark).alias("mark")), "fingerprints")
-    components = components_of(marked)
-    first = marked.join(components, "mark").filter("doc_id = component_id")
-    first = first.groupBy("root", "doc_id").agg(F.min("mark").alias("mark"))
-    same = (whole[id_col] == first["doc_id"]) & (whole[mark] == first["mark"])
-    named = whole.join(first, same, "left_semi").dropDuplicates([id_col, mark])
-    unnamed = components.filter("component_id IS NULL").select(F.col("mark").alias(mark))
-    return named.union(whole.filter(F.col(id_col).isNull()).join(unnamed, mark, "left_semi").select(*whole.columns)).drop(mark)
+    mark, key = "_fingerprint_of_text", "_hash_of_text"
+    whole = with_fingerprint(docs, text_col, mark).withColumn(key, F.xxhash64(F.col(text_col).cast("string")))
+    marked = write_through(whole.select(F.col(id_col).alias("doc_id"), F.col(mark).alias("mark"), key), "fingerprints")
+    components = components_of(marked.select("doc_id", "mark"))
+    first = marked.join(components, "mark").filter("doc_id <=> component_id")
+    first = first.groupBy("root", "doc_id").agg(F.min(F.struct("mark", key)).alias("least")).select("doc_id", "least.*")
+    same = whole[id_col].eqNullSafe(first["doc_id"]) & (whole[mark] == first["mark"]) & (whole[key] == first[key])
+    return whole.join(first, same, "left_semi").dropDuplicates([id_col, mark, key]).drop(mark, key)

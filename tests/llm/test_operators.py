@@ -112,6 +112,14 @@ def test_simhash(spark):
     assert simhash_dedup.one_of_each(df).count() == len(set(group))
 
 
+def test_one_of_each_without_ids(spark):
+    text = "one two three four five six"
+    rows = [(None, text), (None, text), (None, text.upper()), (None, None), (None, None), (7, "other words " * 9), (None, "other words " * 9)]
+    out = simhash_dedup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(out) == 3 and [r.doc_id for r in out if r.text and r.text.startswith("other")] == [7]
+    assert sum((r.text or "").lower() == text for r in out) == 1 and sum(r.text is None for r in out) == 1
+
+
 @pytest.mark.parametrize("distance", [0, 1, 3, 6])
 def test_links_of_a_dense_group(spark, distance):
     rng = random.Random(distance)
