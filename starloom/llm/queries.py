@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    centroid_clusters,
     chat_format,
+    fill_in_middle,
     length_packing,
+    license_scan,
     page_difference,
     quality_outliers,
     simhash_dedup,
@@ -183,3 +186,126 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_toxicity_cnn(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_cnn.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+OP11_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+             sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+  e AS (SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS h2,
+          CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS h4 FROM d),
+  f AS (SELECT *, least(h1, h2) AS a, greatest(h1, h2) AS b,
+          CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+            WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM e),
+  g AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM g
+"""
+
+
+@query(OP11_SQL)
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    out = fill_in_middle.fill_in_middle(table(spark, folder, "documents"))
+    return out.select(
+        "doc_id",
+        "n",
+        "form",
+        F.col("prefix_units").alias("prefix_chars"),
+        F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def _op12_sql(k: int, rounds: int) -> str:
+    """Squared distances are exact in doubles up to 2^53, which components of up to 2^22 never exceed."""
+    steps = [f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) = 64
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+  w AS MATERIALIZED (SELECT r, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM v),
+  c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), e) - 1 AS c, e
+    FROM v QUALIFY c < {k})"""]
+    for n in range(rounds + 1):
+        steps.append(f"""
+  a{n} AS MATERIALIZED (SELECT r, min(CAST(list_inner_product(v.e, v.e) - 2 * list_inner_product(v.e, q.e)
+    + list_inner_product(q.e, q.e) AS HUGEINT) * {k} + c) AS m FROM v CROSS JOIN c{n} AS q GROUP BY r)""")
+        if n < rounds:
+            steps.append(f"""
+  s{n} AS (SELECT m % {k} AS c, i, sum(CAST(x AS HUGEINT)) AS s, count(*) AS n FROM a{n} JOIN w ON w.r = a{n}.r GROUP BY m % {k}, i),
+  c{n + 1} AS MATERIALIZED (SELECT c, list(CAST((s - (s % n + n) % n) // n AS DOUBLE) ORDER BY i) AS e FROM s{n} GROUP BY c
+    UNION ALL SELECT c, e FROM c{n} WHERE c NOT IN (SELECT c FROM s{n}))""")
+    return ",".join(steps) + f"""
+SELECT vec_id, CAST(m % {k} AS INTEGER) AS cluster, CAST(m // {k} AS BIGINT) AS distance,
+  CAST(sum(m // {k}) OVER (PARTITION BY m % {k}) AS BIGINT) AS cluster_inertia, CAST(sum(m // {k}) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(list_transform(q.e, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM a{rounds} JOIN v ON v.r = a{rounds}.r JOIN c{rounds} AS q ON q.c = m % {k}
+"""
+
+
+@query(_op12_sql(centroid_clusters.K, centroid_clusters.ROUNDS))
+def op12_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    out = centroid_clusters.cluster(table(spark, folder, "embeddings"))
+    listed = F.array_join(F.transform("centroid", lambda x: x.cast("string")), ",")
+    return out.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(listed, 256).alias("centroid_sha256")
+    )
+
+
+def _op13_sql(m=license_scan) -> str:
+    quoted = lambda x: "'" + x + "'"  # noqa: E731 - words of a to z, digits and hyphens
+    templates = ", ".join(f"({i}, {quoted(t.label)}, {quoted(t.text)}, {len(t.phrases)})" for i, t in enumerate(m.TEMPLATES))
+    phrases = ", ".join(f"({i}, {quoted(x)}, {t.place(x)})" for i, t in enumerate(m.TEMPLATES) for x in t.phrases)
+    base = ", ".join(f"({quoted(x)}, {quoted(label)})" for x, label in m.PHRASES.items())
+    common = ", ".join(map(quoted, sorted(m.COMMON)))
+    return rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM documents),
+  w AS MATERIALIZED (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS pos FROM d),
+  t(t, label, words, needed) AS (VALUES {templates}),
+  tw AS (SELECT t, unnest(string_split(words, ' ')) AS w, generate_subscripts(string_split(words, ' '), 1) - 1 AS place FROM t),
+  df AS (SELECT w, count(DISTINCT r) AS n FROM w WHERE w IN (SELECT w FROM tw) GROUP BY w),
+  idf AS (SELECT DISTINCT t, tw.w, length(bin(((SELECT count(*) FROM d) + 1) // (coalesce(df.n, 0) + 1))) AS idf
+    FROM tw LEFT JOIN df ON df.w = tw.w WHERE tw.w NOT IN ({common})),
+  rare AS (SELECT * FROM idf QUALIFY row_number() OVER (PARTITION BY t ORDER BY idf DESC, w) <= {m.RARE}),
+  postings AS MATERIALIZED (SELECT rare.t, rare.w, place, idf FROM rare JOIN tw ON tw.t = rare.t AND tw.w = rare.w),
+  total AS (SELECT t, sum(idf) AS total FROM postings GROUP BY t),
+  v AS (SELECT r, t, pos - place AS start, sum(idf) AS agree FROM w JOIN postings ON postings.w = w.w GROUP BY r, t, pos - place),
+  p(t, phrase, place) AS (VALUES {phrases}),
+  b(phrase, label) AS (VALUES {base}),
+  x AS (SELECT phrase, string_split(phrase, ' ') AS ps FROM (SELECT phrase FROM p UNION SELECT phrase FROM b)),
+  f AS MATERIALIZED (SELECT w.r, phrase, pos FROM w JOIN x ON x.ps[1] = w.w JOIN d ON d.r = w.r
+    WHERE d.ws[pos + 1 : pos + len(ps)] = ps),
+  h AS (SELECT r, t, pos - place AS start, count(*) AS held FROM f JOIN p ON p.phrase = f.phrase GROUP BY r, t, pos - place),
+  k AS MATERIALIZED (SELECT v.r, label, agree / total AS share FROM v JOIN h ON h.r = v.r AND h.t = v.t AND h.start = v.start
+    JOIN t ON t.t = v.t JOIN total ON total.t = v.t WHERE held = needed AND agree * {m.OF} >= total * {m.AGREE}),
+  n AS (SELECT r, count(*) AS n, min(pos) AS first, max(pos) AS last FROM f JOIN b ON b.phrase = f.phrase GROUP BY r),
+  bl AS MATERIALIZED (SELECT DISTINCT r, label FROM f JOIN b ON b.phrase = f.phrase),
+  l AS (SELECT r, string_agg(label, ',' ORDER BY label) AS labels FROM bl GROUP BY r),
+  al AS (SELECT r, string_agg(label, ',' ORDER BY label) AS labels FROM (SELECT * FROM bl UNION SELECT r, label FROM k) GROUP BY r),
+  sc AS (SELECT r, max(share) AS share FROM k GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n.n, 0) AS BIGINT) AS n_base, CAST(n.first AS BIGINT) AS first_word,
+  CAST(n.last AS BIGINT) AS last_word, coalesce(l.labels, '') AS base_labels, coalesce(al.labels, '') AS labels,
+  CAST(greatest(coalesce(share, 0), CASE WHEN n.n > 0 THEN {m.PLAIN} ELSE 0 END) AS DOUBLE) AS score
+FROM d LEFT JOIN n ON n.r = d.r LEFT JOIN l ON l.r = d.r LEFT JOIN al ON al.r = d.r LEFT JOIN sc ON sc.r = d.r
+"""
+
+
+@query(_op13_sql())
+def op13_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    out = license_scan.scanned(table(spark, folder, "documents"))
+    at = F.transform("places", lambda x: x["at"].cast("long"))
+    return out.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(at).alias("first_word"),
+        F.array_max(at).alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
