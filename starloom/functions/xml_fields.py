@@ -41,6 +41,16 @@ def _typed(raw: Column, kind: str, width: int | None) -> Column:
     return F.trim(raw).try_cast(kind)
 
 
+def _first_texts(
+    df: DataFrame, column: str, fields: Mapping[str, tuple[str, str, int | None]], prefix: str | None
+) -> tuple[DataFrame, dict[str, Column]]:
+    """The documents parsed once, and the text of each element's first occurrence."""
+    names = {e: f"{prefix}:{e}" if prefix else e for e in fields}
+    layout = "struct<" + ",".join(f"`{n}`:array<string>" for n in names.values()) + ">"
+    parsed = df.withColumn("_xml", F.from_xml(F.col(column), layout))
+    return parsed, {e: F.get(F.col("_xml").getField(names[e]), F.lit(0)) for e in fields}
+
+
 def xml_fields(
     df: DataFrame,
     column: str,
@@ -53,12 +63,36 @@ def xml_fields(
     value, a missing one null, and a value of the wrong type null for that field
     only.  ``prefix`` names the namespace prefix the documents use, if any.
     """
-    names = {e: f"{prefix}:{e}" if prefix else e for e in fields}
-    layout = "struct<" + ",".join(f"`{n}`:array<string>" for n in names.values()) + ">"
-    parsed = df.withColumn("_xml", F.from_xml(F.col(column), layout))
+    parsed, raw = _first_texts(df, column, fields, prefix)
     kept = [F.col(c) for c in df.columns if c != column]
-    values = [
-        _typed(F.get(F.col("_xml").getField(names[e]), F.lit(0)), kind, width).alias(target)
-        for e, (target, kind, width) in fields.items()
-    ]
+    values = [_typed(raw[e], kind, width).alias(target) for e, (target, kind, width) in fields.items()]
     return parsed.select(*kept, *values)
+
+
+def lost_values(
+    df: DataFrame,
+    column: str,
+    fields: Mapping[str, tuple[str, str, int | None]],
+    prefix: str | None = None,
+) -> DataFrame:
+    """What :func:`xml_fields` cannot keep: ``column_name, filled, cut, unreadable``, a row for each field.
+
+    ``filled`` counts documents that hold the element, ``cut`` texts longer than
+    their width, ``unreadable`` values that are not of their type (blank ones are
+    not counted).  All fields are counted in one pass over the documents.
+    """
+    parsed, raw = _first_texts(df, column, fields, prefix)
+    counts = []
+    for e, (target, kind, width) in fields.items():
+        value = raw[e]
+        cut = F.length(value) > width if width else F.lit(False)
+        bad = F.lit(False) if kind == "string" else (F.trim(value) != "") & _typed(value, kind, width).isNull()
+        counts.append(
+            F.struct(
+                F.lit(target).alias("column_name"),
+                F.count(value).alias("filled"),
+                F.count_if(cut).alias("cut"),
+                F.count_if(bad).alias("unreadable"),
+            )
+        )
+    return parsed.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))

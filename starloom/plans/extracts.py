@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import business_type
-from ..functions.xml_fields import PERSON_SURVEY, STORE_SURVEY, xml_fields
+from ..functions.xml_fields import PERSON_SURVEY, STORE_SURVEY, lost_values, xml_fields
 from ..operators.dedupe import keep_first
 from ..operators.history import current_rows, latest_rows, preferred_text
 from ..operators.lookup import join_every, join_unique
@@ -277,6 +277,19 @@ def _stores(source: Source) -> DataFrame:
     return surveyed.withColumn("business_type", business_type(F.col("business_code"))).drop("business_code")
 
 
+def lost_survey_values(source: Source) -> DataFrame:
+    """Survey values that a dimension cannot keep: ``table_name, column_name, filled, cut, unreadable``."""
+    surveys = {
+        "dim_customer": ("Person.Person", PERSON_SURVEY),
+        "dim_reseller": ("Sales.Store", STORE_SURVEY),
+    }
+    counts = [
+        lost_values(source.table(table).select("Demographics"), "Demographics", fields).select(F.lit(name).alias("table_name"), "*")
+        for name, (table, fields) in surveys.items()
+    ]
+    return counts[0].unionByName(counts[1])
+
+
 def _store_addresses(source: Source) -> DataFrame:
     links = source.table("Person.BusinessEntityAddress").select("BusinessEntityID", "AddressID")
     return links.join(addresses(source), "AddressID", "left").drop("AddressID")

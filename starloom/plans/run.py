@@ -15,7 +15,7 @@ from ..operators.statistics import HIGH_MISS_SHARE
 from ..sources.tables import Source
 from . import checks
 from .dimensions import prepare
-from .extracts import LOAD_EXTRACTS, Extraction, extract_all, extraction_report
+from .extracts import LOAD_EXTRACTS, Extraction, extract_all, extraction_report, lost_survey_values
 from .facts import FACT_PLANS, resolve_fact_from_source
 from .warehouse import Warehouse
 
@@ -36,6 +36,7 @@ class RunReport:
     extracted: dict[str, int] = field(default_factory=dict)
     dropped: dict[str, int] = field(default_factory=dict)
     duplicate_keys: dict[str, int] = field(default_factory=dict)
+    lost_values: dict[str, dict[str, int]] = field(default_factory=dict)
 
     @property
     def total_extracted(self) -> int:
@@ -77,7 +78,8 @@ def run(
     ``only_new`` stored business keys are left out instead, so that a run over
     grown sources adds what is new.  A fact that fails is reported and does not
     stop the other.  ``extracted`` counts dimension rows in one job of their own and
-    fact rows while they are written.
+    fact rows while they are written.  ``lost_values`` counts, for each survey
+    column that lost any, texts cut to its width and values not of its type.
     """
     creation = warehouse.create()
     extraction = extract_all(source, as_of, LOAD_EXTRACTS)
@@ -121,6 +123,10 @@ def run(
     repeated = checks.duplicate_lookup_keys(warehouse.tables()).where("duplicated_keys > 0").collect()
     for r in repeated:
         log.warning("%s: %d values of %s stand for several rows", r["table_name"], r["duplicated_keys"], r["alternate_key"])
+    lost = {}
+    for r in lost_survey_values(source).where("cut > 0 or unreadable > 0").collect():
+        lost[f"{r['table_name']}.{r['column_name']}"] = {c: r[c] for c in ("filled", "cut", "unreadable")}
+        log.warning("%(table_name)s.%(column_name)s: of %(filled)d values %(cut)d were cut and %(unreadable)d left out", r.asDict())
     held = sum(r["row_count"] for r in report if r["table_name"] in FACTS) if only_new else sum(fact_rows.values())
     return RunReport(
         outcome=checks.run_outcome(held, intact, ok, len(report), sum(violations.values())),
@@ -135,6 +141,7 @@ def run(
         extracted=extracted,
         dropped=dropped,
         duplicate_keys={r["table_name"]: r["duplicated_keys"] for r in repeated},
+        lost_values=lost,
     )
 
 

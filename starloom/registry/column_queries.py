@@ -242,6 +242,48 @@ def store_survey_fields(spark: SparkSession, folder: str) -> DataFrame:
     return xml_fields(stores, "Demographics", STORE_SURVEY, prefix="ns")
 
 
+def _lost_sql() -> str:
+    """Each survey column with the texts that are too long for it and the values that are not of its type."""
+    surveyed = "c_mktsegment <> 'FURNITURE' or c_acctbal >= 1000"
+    none, every = "false", "true"
+    people = {
+        "birth_date": (every, none, none),
+        "marital_status": (every, "c_nationkey < 10", none),
+        "gender": (every, none, none),
+        "yearly_income": (every, "length(concat(c_nationkey * 1000, '-', c_nationkey * 1000 + 25000, ' per year')) > 20", none),
+        "total_children": (every, none, "c_mktsegment = 'BUILDING'"),
+        "number_children_at_home": ("c_nationkey <= 20", none, none),
+        "education": (every, none, none),
+        "house_owner_flag": (every, none, none),
+        "number_cars_owned": (every, none, none),
+        "date_first_purchase": (every, none, none),
+        "commute_distance": (every, "length(concat(c_nationkey, ' miles and some more')) > 20", none),
+    }
+    stores = {
+        "business_code": ("s_nationkey <> 7", none, none),
+        "number_employees": (every, none, none),
+        "annual_sales": (every, none, none),
+        "bank_name": (every, none, none),
+        "annual_revenue": ("s_nationkey <> 9", none, none),
+        "year_opened": (every, none, "s_nationkey = 5"),
+    }
+    return " union all ".join(
+        f"select '{name}' as table_name, '{c}' as column_name, count(*) filter ({filled}) as filled, "
+        f"count(*) filter ({cut}) as cut, count(*) filter ({bad}) as unreadable from {table} where {kept}"
+        for name, table, kept, columns in (
+            ("dim_customer", "customer", surveyed, people),
+            ("dim_reseller", "supplier", every, stores),
+        )
+        for c, (filled, cut, bad) in columns.items()
+    )
+
+
+@query(_lost_sql())
+def lost_survey_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Survey texts cut to their width and values that are not of their type, for each column."""
+    return extracts.lost_survey_values(sales_source(spark, folder))
+
+
 @query("select * from d_date")
 def calendar_dimension(spark: SparkSession, folder: str) -> DataFrame:
     return dim_date(calendar_rows(spark, folder))

@@ -77,11 +77,12 @@ DEFINITIONS = {
     "s_email": """
         select 2 * c_custkey as entity_id, concat('c', c_custkey, '@mail.example') as email from customer
         union all
-        select 2 * c_custkey, concat('b', c_custkey, '@site.example') from customer where c_mktsegment = 'BUILDING'""",
+        select 2 * c_custkey, case when c_mktsegment = 'BUILDING' then concat('b', c_custkey, '@site.example')
+               else concat('a', c_custkey, '@mail.example') end from customer""",
     "s_phone": """
         select 2 * c_custkey as entity_id, concat(c_nationkey, '-', c_custkey) as phone from customer
         union all
-        select 2 * c_custkey, concat('800-', c_custkey) from customer where c_acctbal > 5000""",
+        select 2 * c_custkey, concat(case when c_acctbal > 5000 then '800-' else '0-' end, c_custkey) from customer""",
     "s_address": """
         select 2 * c_custkey as address_id, concat(c_custkey, ' Main St') as address_line1,
                case when c_mktsegment = 'AUTOMOBILE' then concat('Apt ', c_nationkey) end as address_line2,
@@ -98,9 +99,9 @@ DEFINITIONS = {
     "s_entity_address": f"""
         select 2 * c_custkey as entity_id, 2 * c_custkey as address_id from customer
         union all
-        select 2 * c_custkey, {_STORE} from customer where c_mktsegment = 'BUILDING'
+        select 2 * c_custkey, case when c_mktsegment = 'BUILDING' then {_STORE} else 2 * c_custkey end from customer
         union all
-        select 2 * s_suppkey + 1, 2 * s_suppkey + 1 from supplier where s_acctbal <= 9000""",
+        select 2 * s_suppkey + 1, case when s_acctbal <= 9000 then 2 * s_suppkey + 1 else -s_suppkey end from supplier""",
     "s_located": """
         select address_id, address_line1, address_line2, city, province_code as state_province_code, postal_code
         from s_address left join s_place using (province_id)""",
@@ -118,8 +119,7 @@ DEFINITIONS = {
                case when s_nationkey <> 5 then 1950 + s_nationkey end as year_opened
         from supplier""",
     "s_store_contact": f"""
-        select {_STORE} as entity_id, concat('+', c_custkey) as phone from customer
-        where c_mktsegment <> 'HOUSEHOLD'""",
+        select {_STORE} as entity_id, case when c_acctbal >= -900 then concat('+', c_custkey) end as phone from customer""",
     "s_employee": """
         select 2 * user_id as entity_id, cast(min(ts) as date) as hire_date,
                cast(cast(min(ts) as date) - 10000 as date) as birth_date, concat('login-', user_id) as login_id,
@@ -136,7 +136,7 @@ DEFINITIONS = {
     "s_pay": """
         select 2 * user_id as entity_id, date_trunc('day', ts) as changed, cast(value as decimal(19,4)) as rate,
                cast(case when value < 20 then 1 else 2 end as smallint) as frequency
-        from events where event_type = 'purchase'""",
+        from events""",
     "s_product": """
         select p_partkey as part_key, cast(p_retailprice * 0.5 as decimal(19,4)) as standard_cost from part""",
     "s_header": """

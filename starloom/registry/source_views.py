@@ -139,15 +139,18 @@ def sales_source(spark: SparkSession, folder: str) -> FrameSource:
             "Person.EmailAddress": lambda: t.customer.selectExpr(
                 "2 * c_custkey as BusinessEntityID", "concat('c', c_custkey, '@mail.example') as EmailAddress"
             ).unionByName(
-                t.customer.where("c_mktsegment = 'BUILDING'").selectExpr(
-                    "2 * c_custkey as BusinessEntityID", "concat('b', c_custkey, '@site.example') as EmailAddress"
+                t.customer.selectExpr(
+                    "2 * c_custkey as BusinessEntityID",
+                    "case when c_mktsegment = 'BUILDING' then concat('b', c_custkey, '@site.example') "
+                    "else concat('a', c_custkey, '@mail.example') end as EmailAddress",
                 )
             ),
             "Person.PersonPhone": lambda: t.customer.selectExpr(
                 "2 * c_custkey as BusinessEntityID", "concat(c_nationkey, '-', c_custkey) as PhoneNumber"
             ).unionByName(
-                t.customer.where("c_acctbal > 5000").selectExpr(
-                    "2 * c_custkey as BusinessEntityID", "concat('800-', c_custkey) as PhoneNumber"
+                t.customer.selectExpr(
+                    "2 * c_custkey as BusinessEntityID",
+                    "concat(case when c_acctbal > 5000 then '800-' else '0-' end, c_custkey) as PhoneNumber",
                 )
             ),
             "Person.Address": lambda: t.customer.selectExpr(
@@ -172,20 +175,23 @@ def sales_source(spark: SparkSession, folder: str) -> FrameSource:
                 "2 * c_custkey as BusinessEntityID", "2 * c_custkey as AddressID"
             )
             .unionByName(
-                t.customer.where("c_mktsegment = 'BUILDING'").selectExpr(
-                    "2 * c_custkey as BusinessEntityID", f"{_STORE_OF_CUSTOMER} as AddressID"
+                t.customer.selectExpr(
+                    "2 * c_custkey as BusinessEntityID",
+                    f"case when c_mktsegment = 'BUILDING' then {_STORE_OF_CUSTOMER} else 2 * c_custkey end as AddressID",
                 )
             )
-            .unionByName(
-                t.supplier.where("s_acctbal <= 9000").selectExpr(
-                    "2 * s_suppkey + 1 as BusinessEntityID", "2 * s_suppkey + 1 as AddressID"
+            .unionByName(  # the address of a rich store is not there
+                t.supplier.selectExpr(
+                    "2 * s_suppkey + 1 as BusinessEntityID",
+                    "case when s_acctbal <= 9000 then 2 * s_suppkey + 1 else -s_suppkey end as AddressID",
                 )
             ),
             "Sales.Store": lambda: t.supplier.selectExpr(
                 "2 * s_suppkey + 1 as BusinessEntityID", "s_name as Name", f"{_STORE_XML} as Demographics"
             ),
-            "Sales.vStoreWithContacts": lambda: t.customer.where("c_mktsegment <> 'HOUSEHOLD'").selectExpr(
-                f"{_STORE_OF_CUSTOMER} as BusinessEntityID", "concat('+', c_custkey) as PhoneNumber"
+            "Sales.vStoreWithContacts": lambda: t.customer.selectExpr(
+                f"{_STORE_OF_CUSTOMER} as BusinessEntityID",
+                "case when c_acctbal >= -900 then concat('+', c_custkey) end as PhoneNumber",
             ),
             "HumanResources.Department": lambda: t.events.select("event_type")
             .distinct()
@@ -217,7 +223,7 @@ def sales_source(spark: SparkSession, folder: str) -> FrameSource:
                 "a as StartDate",
                 "case when event_type <> 'signup' then b end as EndDate",
             ),
-            "HumanResources.EmployeePayHistory": lambda: t.events.where("event_type = 'purchase'").selectExpr(
+            "HumanResources.EmployeePayHistory": lambda: t.events.selectExpr(
                 "2 * user_id as BusinessEntityID",
                 "date_trunc('day', ts) as RateChangeDate",
                 "cast(value as decimal(19,4)) as Rate",

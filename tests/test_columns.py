@@ -20,7 +20,7 @@ from starloom.functions.keys import (
     trimmed_text,
 )
 from starloom.functions.measures import derived_measures
-from starloom.functions.xml_fields import PERSON_SURVEY, STORE_SURVEY, xml_fields
+from starloom.functions.xml_fields import PERSON_SURVEY, STORE_SURVEY, lost_values, xml_fields
 from starloom.model import DIM_CURRENCY, DIM_EMPLOYEE, apply_defaults, conform
 
 
@@ -154,6 +154,24 @@ def test_store_survey_with_prefix(spark):
     assert got["bank_name"] == "b" * 50 and got["year_opened"] == 1996 and got["number_employees"] is None
 
 
+def test_lost_values_are_counted(spark):
+    docs = [
+        _person("<MaritalStatus>Married</MaritalStatus><TotalChildren>2</TotalChildren><BirthDate>1966-04-08Z</BirthDate>"),
+        _person("<MaritalStatus>S</MaritalStatus><TotalChildren>many</TotalChildren><BirthDate>some day</BirthDate>"),
+        _person("<MaritalStatus>Single</MaritalStatus><TotalChildren> </TotalChildren><TotalChildren>x</TotalChildren>"),
+        _person("<MaritalStatus></MaritalStatus><TotalChildren>99999</TotalChildren>"),
+        _person(""),
+        None,
+    ]
+    df = spark.createDataFrame(list(enumerate(docs)), "cut int, doc string")
+    got = {r["column_name"]: tuple(r)[1:] for r in lost_values(df, "doc", PERSON_SURVEY).collect()}
+    assert list(got) == [t for t, _, _ in PERSON_SURVEY.values()]
+    assert got["marital_status"][1:] == (2, 0) and got["total_children"][1:] == (0, 2) and got["birth_date"] == (2, 0, 1)
+    assert got["gender"] == (0, 0, 0)
+    nothing = lost_values(spark.createDataFrame([], "doc string"), "doc", STORE_SURVEY).collect()
+    assert len(nothing) == len(STORE_SURVEY) and all(tuple(r)[1:] == (0, 0, 0) for r in nothing)
+
+
 def test_each_document_is_parsed_once(spark):
     df = spark.createDataFrame([("<a/>",)], "doc string")
     plan = xml_fields(df, "doc", PERSON_SURVEY)._jdf.queryExecution().optimizedPlan().toString()

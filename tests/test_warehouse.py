@@ -230,6 +230,7 @@ def test_the_report_tells_what_was_extracted_and_dropped(spark, warehouse, files
     assert report.extracted["dim_promotion"] == 2 and report.extracted["fact_internet_sales"] == 8
     assert report.dropped["fact_internet_sales"] == 4
     assert report.total_extracted == sum(report.extracted.values()) and set(report.extracted) == set(TABLES)
+    assert report.lost_values == {"dim_customer.total_children": {"filled": 2, "cut": 0, "unreadable": 1}}
 
 
 def test_staged_rows_are_removed(spark, warehouse, files, tmp_path, monkeypatch):
