@@ -1,9 +1,9 @@
 """Numpy work on batches of whole texts, and key exchanges between batches.
 
-A batch is the set of documents whose id hashes to one number, so its size does not depend on sources, groups of
-copies or keys.  Batches send keys to buckets, one packed row for each batch and bucket; a key stands there at most
-once, so a key that a third of all documents hold costs a bucket one entry for each batch, not one for each document.
-Buckets answer the batches in the same form.
+A batch is the set of documents whose id and text hash to one number, so its size does not depend on sources, groups
+of copies, rows without ids or keys.  Batches send keys to buckets, one packed row for each batch and bucket; a key
+stands there at most once, so a key that a third of all documents hold costs a bucket one entry for each batch, not
+one for each document.  Buckets answer the batches in the same form.
 """
 
 from __future__ import annotations
@@ -42,8 +42,8 @@ def batch_counts(df: DataFrame, text: str) -> tuple[int, int]:
     return batches, -(-batches // BATCHES_A_BUCKET)
 
 
-def in_batches(df: DataFrame, key: str, batches: int) -> DataFrame:
-    return df.withColumn("batch", F.pmod(F.xxhash64(key), F.lit(batches)).cast("int"))
+def in_batches(df: DataFrame, key: str, text: str, batches: int) -> DataFrame:
+    return df.withColumn("batch", F.pmod(F.xxhash64(key, text), F.lit(batches)).cast("int"))
 
 
 # Text of a batch -----------------------------------------------------------------------------------------------

@@ -97,8 +97,8 @@ def remove_repeated_windows(
     chosen = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")]
     kept_columns = [F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)]
     batches, buckets = p.batch_counts(docs, text_col)
-    texts = p.in_batches(docs.select(*chosen), "doc_id", batches)
-    whole = p.in_batches(docs.select(*chosen, *kept_columns), "doc_id", batches) if carry else texts
+    texts = p.in_batches(docs.select(*chosen), "doc_id", "text", batches)
+    whole = p.in_batches(docs.select(*chosen, *kept_columns), "doc_id", "text", batches) if carry else texts
 
     def anchors(key, table):
         words = _Words(table, window)
