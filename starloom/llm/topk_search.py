@@ -3,7 +3,8 @@
 Vectors are cut into slices of components; a score is the sum of a query's partial scores over the slices.
 
 1. Each block of candidates lists, for every query and slice, the k best partial scores, scores what is on the lists
-   and sends the k best of those.  The k-th best over all blocks is a score that k candidates reach: the cutoff.
+   and sends the k best of those.  Lists are merged a few dozen at a time until one is left for each block of queries.
+   Its k-th best is a score that k candidates reach: the cutoff.
 2. The cutoff goes back to the blocks.  A candidate that reaches it has a partial score of at least cutoff / slices in
    some slice; only such entries are collected.
 3. Their scores are resolved exactly, and the k best that reach the cutoff leave the block for the final order.
@@ -22,6 +23,7 @@ K = 20
 SLICES = 4
 QUERY_BLOCK = 512
 CANDIDATE_BLOCK = 2048
+MERGED = 64  # lists that one task merges
 NO_SCORE = -np.inf
 
 
@@ -106,15 +108,23 @@ def nearest(
             for part in parts:
                 np.put_along_axis(listed, np.argpartition(part, total.shape[1] - n, axis=1)[:, -n:], True, axis=1)
             payloads = [_best(np.where(listed, total, NO_SCORE), k).tobytes()]
-        return pa.table(
-            {"q": pa.array([key[0].as_py()] * len(payloads), pa.int32()), "scores": pa.array(payloads, pa.binary())}
-        )
+        at = [pa.array([x.as_py()] * len(payloads), pa.int32()) for x in key]
+        return pa.table({"q": at[0], "c": at[1], "scores": pa.array(payloads, pa.binary())})
+
+    def merged(lists: pa.Table) -> np.ndarray:
+        best = None
+        for payload in lists["scores"].to_pylist():
+            scores = np.frombuffer(payload).reshape(-1, k)
+            best = scores if best is None else _best(np.hstack([best, scores]), k)
+        return best
+
+    def merge(key, lists: pa.Table) -> pa.Table:
+        at = [pa.array([x.as_py()], pa.int32()) for x in key]
+        return pa.table({"q": at[0], "c": at[1], "scores": pa.array([merged(lists).tobytes()], pa.binary())})
 
     def cutoffs(left: pa.Table, right: pa.Table) -> pa.Table:
         left = _sorted(left)
-        best = np.full((left.num_rows, k), NO_SCORE)
-        for payload in right["scores"].to_pylist() if left.num_rows else []:
-            best = _best(np.hstack([best, np.frombuffer(payload).reshape(-1, k)]), k)
+        best = merged(right) if left.num_rows and right.num_rows else np.full((left.num_rows, k), NO_SCORE)
         return left.append_column("cutoff", pa.array(best[:, k - 1]))
 
     def resolve(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -143,7 +153,11 @@ def nearest(
         names = {"query_id": query, "twin": twins, "vec_id": ids, "score": scores}
         return pa.table({n: pa.array(np.concatenate(v)) for n, v in names.items()})
 
-    local = asked.withColumn("c", all_of(columns)).groupBy("q", "c").cogroup(cells).applyInArrow(gather, "q int, scores binary")
+    lists = "q int, c int, scores binary"
+    local, left = asked.withColumn("c", all_of(columns)).groupBy("q", "c").cogroup(cells).applyInArrow(gather, lists), columns
+    while left > MERGED:
+        local = local.withColumn("c", (F.col("c") / MERGED).cast("int")).groupBy("q", "c").applyInArrow(merge, lists)
+        left = -(-left // MERGED)
     bounded = asked.groupBy("q").cogroup(local.groupBy("q")).applyInArrow(
         cutoffs, "vec_id long, vector array<double>, twin long, q int, cutoff double"
     )

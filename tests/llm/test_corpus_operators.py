@@ -296,12 +296,13 @@ def test_pack(spark):
         assert all(r.n_tokens <= length for r in own)
 
 
-def test_top_k(spark):
+@pytest.mark.parametrize("candidate_block", [23, 2])  # the smaller merges lists in two steps
+def test_top_k(spark, candidate_block):
     rng = random.Random(5)
     rows = [(i, [float(rng.randint(-3, 3)) for _ in range(6)]) for i in range(150)]
     rows += [(200 + i, [1.0] * 6) for i in range(40)] + [(10, rows[10][1]), (300, None), (301, [None] * 6), (302, [float("nan")] * 6), (None, [1.0] * 6)]
     df = spark.createDataFrame(rows, "vec_id long, vector array<double>").withColumn("q", F.lit(1))
-    out = topk_search.nearest(df, df.filter("vec_id % 10 = 0"), 5, query_block=7, candidate_block=23)
+    out = topk_search.nearest(df, df.filter("vec_id % 10 = 0"), 5, query_block=7, candidate_block=candidate_block)
     good = {i: v for i, v in rows if i is not None and v and None not in v and v[0] == v[0]}
     want = []
     for q in [i for i in good if i % 10 == 0]:
