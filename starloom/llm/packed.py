@@ -24,6 +24,8 @@ SMALL_BATCH, LARGE_BATCH, MANY, BATCHES_A_BUCKET = 1 << 20, 16 << 20, 1024, 4
 PARTS = "bucket int, batch int, payload binary"
 REPLIES = "batch int, bucket int, payload binary"
 
+CACHED = 1 << 15  # bytes that are hashed together, so that hashes stay in a processor's cache
+
 _BYTE = np.random.default_rng(20240611).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
@@ -168,6 +170,17 @@ def smallest_in_window(h: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def anchors_of(data: np.ndarray, window: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The place of the smallest hash of ``size`` bytes in the window that starts at each byte, and all such hashes."""
+    hashes, anchor = np.zeros(len(data), np.uint64), np.zeros(max(0, len(data) - window + 1), np.int64)
+    for a in range(0, len(anchor), CACHED):
+        piece = byte_hashes(data[a : a + CACHED + window - 1], size)
+        hashes[a : a + len(piece)] = piece
+        found = smallest_in_window(piece, window - size + 1)
+        anchor[a : a + len(found)] = found + a
+    return anchor, hashes
+
+
 # Exchanges -----------------------------------------------------------------------------------------------------
 
 
