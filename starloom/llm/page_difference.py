@@ -1,10 +1,12 @@
 """Main text of web pages, by nearest-URL page differencing.
 
-Pages of a host stand in order of their URL paths; each is paired with the neighbour that shares the longer path
-prefix.  Their text lines (blocks) are aligned by longest common subsequence, and lines that both pages share are
-what the site repeats: they are deleted.  Two kinds of lines are kept from that: lines of an <article> (or <main>),
-which are the page's own even where another page quotes or copies them, and pages that are copies of their neighbour
-as a whole.  Elements that are no main text by their name, role or class are left out before.
+Pages of a host stand in order of their URL paths, equal ones once.  Each is aligned with its two neighbours by longest
+common subsequence of text lines (blocks) and paired with the one that is no near copy of it and shares the longer
+path prefix.  Lines that both share are deleted.  What a page and its neighbour share because one copies or
+quotes the other is told from what the site repeats by counting: a line is the site's where more than half of the
+host's different pages hold it, three at least.  Only such lines are deleted from an <article> (or <main>) that is
+the larger part of its page, and from a page whose neighbours are both near copies.  Elements that are no main text by
+their name, role or class are left out before.
 """
 
 from __future__ import annotations
@@ -12,9 +14,9 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -39,6 +41,9 @@ PARTS = frozenset(
 )
 CLOSED_BY = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
+SITE_PAGES = 3  # different pages of a host that hold a line of the site, at least
+BLOCK = 1024  # pages that are compared together
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.S
 )
@@ -161,14 +166,16 @@ def _common(a: str, b: str) -> int:
 
 
 def main_texts(
-    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
+    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", block: int = BLOCK
 ) -> DataFrame:
-    """Every page's id, url, text (its lines joined by one space) and n_shared (lines it shares with its neighbour).
+    """Every page's id, url, text (its lines joined by one space), n_shared (lines it shares with its neighbour) and
+    n_deleted (lines that comparison deletes).
 
     White space inside a line becomes one space; character references are decoded.  A null or empty page has an empty
-    text; a null url is a host of its own kind.  Pages with equal url and html are one page for pairing, and each
-    returns.  A page alone in its host loses no line by comparison.  Markup that ends early is read as far as it goes.
-    An empty table gives an empty result.  Other columns are ignored.
+    text; a null url is a host of its own kind.  Pages of a host with equal lines are one page for pairing, and each
+    returns.  A page alone in its host loses no line by comparison.  An article that the site's lines would halve
+    stays whole.  Markup that ends early is read as far as it goes.  An empty table gives an empty result.  Other
+    columns are ignored.
     """
     rows = pages.select(
         F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html")
@@ -188,75 +195,113 @@ def main_texts(
                 names=["page_id", "url", "lines", "own", "marks"],
             )
 
+    bare = F.regexp_replace(F.regexp_replace(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://", ""), r"[?#].*$", "")
+    host = F.lower(F.substring_index(bare, "/", 1))
     read_pages = rows.mapInArrow(
         read, "page_id long, url string, lines array<string>, own array<boolean>, marks array<long>"
-    ).withColumn("page", F.xxhash64("url", "marks"))
-    bare = F.regexp_replace(F.regexp_replace(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://", ""), r"[?#].*$", "")
+    ).withColumn("page", F.xxhash64(host, "marks"))
+    path = F.regexp_replace(F.regexp_replace(bare, "^[^/]*", ""), r"(\.html?|/)$", "")
     light = read_pages.select(
-        "page",
-        F.lower(F.substring_index(bare, "/", 1)).alias("host"),
-        F.regexp_replace(F.regexp_replace(bare, "^[^/]*", ""), r"(\.html?|/)$", "").alias("path"),
-        F.coalesce("url", F.lit("")).alias("address"),
-        "marks",
-    ).dropDuplicates(["page"])
-    ranked = assign_keys(light, "rank", ["host", "path", "address", "page"])
-
-    def beside(step: int) -> DataFrame:
-        own = [F.col("rank") - step, *(F.col(c).alias(f"other_{c}") for c in ("host", "path", "marks"))]
-        return ranked.select(own[0].alias("rank"), *own[1:])
-
-    before, after = beside(-1), beside(1)
-    near = ranked.join(before, "rank", "left")
-    for c in ("host", "path", "marks"):
-        near = near.withColumnRenamed(f"other_{c}", f"before_{c}")
-    near = near.join(after, "rank", "left")
-    near = near.select(
-        "page", "host", "path", "marks", "before_host", "before_path", "before_marks", "other_host", "other_path", "other_marks"
+        "page", host.alias("host"), "marks", F.struct(path.alias("path"), F.coalesce("url", F.lit("")).alias("address")).alias("at")
     )
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            page, shared = [], []
-            for r in b.to_pylist():
-                sides = [
-                    (_common(r["path"], r[f"{s}_path"]), r[f"{s}_marks"])
-                    for s in ("before", "other")
-                    if r[f"{s}_host"] == r["host"]
-                ]
-                other = max(sides, key=lambda x: x[0])[1] if sides else []
-                page.append(r["page"])
-                shared.append(sorted(shared_lines(r["marks"], other)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(page, pa.int64()), pa.array(shared, pa.list_(pa.int32()))], names=["page", "shared"]
-            )
-
-    compared = near.mapInArrow(compare, "page long, shared array<int>").filter(F.size("shared") > 0)
+    light = light.groupBy("page").agg(F.min("at").alias("at"), F.first("host").alias("host"), F.first("marks").alias("marks"))
+    ranked = assign_keys(light.select("page", "host", "at.*", "marks"), "rank", ["host", "path", "address", "page"])
+
+    # Pages in blocks of ranks, each with the pages beside it.
+    ranked = ranked.withColumn("home", F.expr(f"rank div {block}"))
+    beside = F.array_distinct(F.array(*(F.expr(f"(rank + {step}) div {block}") for step in (-1, 0, 1))))
+    blocks = ranked.withColumn("block", F.explode(beside)).groupBy("block")
+    hosts = ranked.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.min("home").alias("a"), F.max("home").alias("z"))
+    hosts = hosts.select("host", "pages", F.explode(F.sequence("a", "z")).alias("block"))
+
+    def count(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        """Lines that some of the block's own pages hold, with their pages here and all pages of the host."""
+        total = dict(zip(right["host"].to_pylist(), right["pages"].to_pylist(), strict=True))
+        held: Counter = Counter()
+        for host, home, marks in zip(*(left[c].to_pylist() for c in ("host", "home", "marks")), strict=True):
+            if home == key[0].as_py():
+                held.update((host, m) for m in set(marks))
+        rows = [(h, m, n, total[h]) for (h, m), n in held.items()]
+        kinds = {"host": pa.string(), "mark": pa.int64(), "held": pa.int64(), "pages": pa.int64()}
+        return pa.table({c: pa.array([r[i] for r in rows], kind) for i, (c, kind) in enumerate(kinds.items())})
+
+    held = blocks.cogroup(hosts.groupBy("block")).applyInArrow(count, "host string, mark long, held long, pages long")
+    held = held.groupBy("host", "mark").agg(F.sum("held").alias("held"), F.max("pages").alias("pages"))
+    site = held.filter((F.col("held") >= SITE_PAGES) & (F.col("held") * 2 > F.col("pages"))).select("host", "mark")
+    site = site.join(hosts.select("host", "block"), "host").groupBy("block")
+
+    def compare(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        sites: dict[str, set[int]] = {}
+        for host, mark in zip(right["host"].to_pylist(), right["mark"].to_pylist(), strict=True):
+            sites.setdefault(host, set()).add(mark)
+        pages = {r["rank"]: r for r in left.to_pylist()}
+        out = []
+        for rank, r in pages.items():
+            if r["home"] != key[0].as_py():
+                continue
+            near = [pages[n] for n in (rank - 1, rank + 1) if n in pages and pages[n]["host"] == r["host"]]
+            told = compared(r["path"], r["marks"], [(x["path"], x["marks"]) for x in near], sites.get(r["host"], set()))
+            if told[0]:
+                out.append((r["page"], *told))
+        kinds = {"page": pa.int64(), "shared": pa.list_(pa.int32()), "site": pa.list_(pa.int32()), "copy": pa.bool_()}
+        return pa.table({c: pa.array([r[i] for r in out], kind) for i, (c, kind) in enumerate(kinds.items())})
+
+    told = blocks.cogroup(site).applyInArrow(compare, "page long, shared array<int>, site array<int>, copy boolean")
 
     def join_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = []
-            for lines, own, shared in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-                texts.append(" ".join(_kept(lines, own, set(shared or ()))))
-            counts = np.array([len(x or ()) for x in b.column(4).to_pylist()], np.int64)
+            texts, shared_counts, deleted = [], [], []
+            for lines, own, shared, site, copy in zip(*(b.column(i).to_pylist() for i in range(2, 7)), strict=True):
+                text, n = _kept(lines, own, set(shared or ()), set(site or ()), bool(copy))
+                texts.append(" ".join(text))
+                shared_counts.append(len(shared or ()))
+                deleted.append(n)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(counts)],
-                names=["page_id", "url", "text", "n_shared"],
+                [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(shared_counts, pa.int64()), pa.array(deleted, pa.int64())],
+                names=["page_id", "url", "text", "n_shared", "n_deleted"],
             )
 
     out = (
         read_pages.drop("marks")
-        .join(compared, "page", "left")
-        .select("page_id", "url", "lines", "own", "shared")
-        .mapInArrow(join_lines, "page_id long, url string, text string, n_shared long")
+        .join(told, "page", "left")
+        .select("page_id", "url", "lines", "own", "shared", "site", "copy")
+        .mapInArrow(join_lines, "page_id long, url string, text string, n_shared long, n_deleted long")
     )
     return out.withColumnRenamed("page_id", id_col).withColumnRenamed("url", url_col)
 
 
-def _kept(lines: list[str], own: list[bool], shared: set[int]) -> list[str]:
-    """The lines of the article; in pages without one, those that the neighbour does not share."""
-    if any(own):
-        return [x for x, o in zip(lines, own, strict=True) if o]
-    rest = [x for i, x in enumerate(lines) if i not in shared]
-    if 2 * sum(map(len, rest)) < sum(map(len, lines)):  # a copy of its neighbour
-        return lines
-    return rest
+def compared(
+    path: str, marks: list[int], sides: list[tuple[str, list[int]]], site: set[int]
+) -> tuple[list[int], list[int], bool]:
+    """Places of the lines shared with the paired neighbour, those of them that are the site's, and whether it is a copy.
+
+    A neighbour is a near copy where it shares most of the lines that are not the site's.
+    """
+    own = [i for i, m in enumerate(marks) if m not in site]
+    best: tuple = ()
+    for other_path, other in sides:
+        shared = shared_lines(marks, other)
+        copy = bool(own) and 2 * sum(i in shared for i in own) > len(own) and len(own) > 1
+        key = (not copy, _common(path, other_path))
+        if not best or key > best[0]:
+            best = (key, shared, copy)
+    if not best:
+        return [], [], False
+    shared = sorted(best[1])
+    return shared, [i for i in shared if marks[i] in site], best[2]
+
+
+def _kept(
+    lines: list[str], own: list[bool], shared: set[int], site: set[int], copy: bool
+) -> tuple[list[str], int]:
+    """The lines of the main text, and how many lines comparison deleted."""
+    size = [len(x) for x in lines]
+    inside = [i for i, o in enumerate(own) if o]
+    article = sum(size[i] for i in inside)
+    if inside and 2 * article >= sum(size):
+        gone = site.intersection(inside)
+        if 2 * sum(size[i] for i in gone) > article:
+            gone = set()
+        return [lines[i] for i in inside if i not in gone], len(gone)
+    gone = site if copy else shared
+    return [x for i, x in enumerate(lines) if i not in gone], len(gone)

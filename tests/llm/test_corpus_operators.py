@@ -343,6 +343,45 @@ def test_page_text(spark):
     assert all(text[10 + i] == f"Story {i} Words that only page {i} has, enough of them." for i in range(4))
 
 
+def page_texts(spark, rows, **parameters):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("x") for c in ("host", "page", "site", "rank")})
+    return {r.page_id: (r.text, r.n_deleted) for r in page_difference.main_texts(df, **parameters).collect()}
+
+
+@pytest.mark.parametrize("block", [1, 2, 1024])
+def test_lines_of_the_site_go(spark, block):
+    menu = "".join(f"<div>Menu entry number {k} of the site</div>" for k in range(30))
+    teaser = "<article><p>Teaser.</p></article>"
+    quoted = "<p>A passage that two pages of the site quote.</p>"
+    rows = [(i, f"http://a.b/x/{i}", f"<article><p>Share this page</p><p>Story {i} of its own, with enough words.</p>{quoted if i < 2 else ''}</article>") for i in range(5)]
+    rows += [(10 + i, f"http://c.d/{i}.html", f"{menu}<p>Short {i}.</p>") for i in range(4)]
+    rows += [(20 + i, f"http://e.f/{i}", f"<div>Home</div>{teaser}<div>The body of page {i}, which stands beside the teaser in a div.</div>") for i in range(4)]
+    rows += [(30, "http://g.h/1", "<article><p>One line.</p></article>"), (31, None, "<p>No address</p>"), (32, "http://g.h/2", None)]
+    out = page_texts(spark, rows, block=block)
+    for i in range(5):
+        assert out[i] == (f"Story {i} of its own, with enough words." + (" A passage that two pages of the site quote." if i < 2 else ""), 1)
+    for i in range(4):
+        assert out[10 + i] == (f"Short {i}.", 30)
+        assert out[20 + i] == (f"The body of page {i}, which stands beside the teaser in a div.", 2)
+    assert out[30] == ("One line.", 0) and out[31] == ("No address", 0) and out[32] == ("", 0)
+
+
+def test_copies_of_a_page_stay_whole(spark):
+    def body(i, n, edit=None):
+        return "".join(f"<p>Line {k} of story {i}{'!' if k == edit else ''}</p>" for k in range(n))
+
+    foot = "<div>All rights kept by the site</div>"
+    rows = [(i, f"http://a.b/{i}", body(i, 6) + foot) for i in range(6)]
+    rows += [(100 + i, f"http://a.b/2?copy={i}", body(2, 6) + foot) for i in range(3)]  # equal pages
+    rows += [(200 + i, f"http://a.b/3/{i}", body(3, 6, i) + foot) for i in range(2)]  # near copies
+    rows += [(300, "http://two.pages/1", body(7, 5)), (301, "http://two.pages/2", body(7, 5, 2))]
+    rows += [(400 + i, f"http://near.copies/{i}", "<article>" + body(8, 6, i) + "</article>") for i in range(5)]
+    out = page_texts(spark, rows)
+    lines = {r[0]: [t for t, _ in page_difference.lines_of(r[2])] for r in rows}
+    for i, (text, _) in out.items():
+        assert text == " ".join(x for x in lines[i] if not x.startswith("All rights")), i
+
+
 def test_page_text_of_the_tables(spark):
     for r in spark.read.parquet(f"{FOLDER}/pages.parquet").collect():
         inner = re.search(r"<article>(.*?)(</article>|\Z)", r.html, re.S)[1]
