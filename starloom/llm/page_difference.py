@@ -4,9 +4,9 @@ Pages of a host stand in order of their URL paths, equal ones once.  Each is ali
 common subsequence of text lines (blocks) and paired with the one that is no near copy of it and shares the longer
 path prefix.  Lines that both share are deleted.  What a page and its neighbour share because one copies or
 quotes the other is told from what the site repeats by counting: a line is the site's where more than half of the
-host's different pages hold it, three at least.  Only such lines are deleted from an <article> (or <main>) that is
-the larger part of its page, and from a page whose neighbours are both near copies.  Elements that are no main text by
-their name, role or class are left out before.
+host's different pages around hold it (those of a block of the order, and some before and behind it), three at least.
+Only such lines are deleted from an <article> (or <main>) that is the larger part of its page, and from a page whose
+neighbours are both near copies.  Elements that are no main text by their name, role or class are left out before.
 """
 
 from __future__ import annotations
@@ -43,6 +43,7 @@ CLOSED_BY = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "
 
 SITE_PAGES = 3  # different pages of a host that hold a line of the site, at least
 BLOCK = 1024  # pages that are compared together
+MARGIN = 64  # pages before and behind a block that are counted with it
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.S
@@ -166,7 +167,7 @@ def _common(a: str, b: str) -> int:
 
 
 def main_texts(
-    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", block: int = BLOCK
+    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", block: int = BLOCK, margin: int = MARGIN
 ) -> DataFrame:
     """Every page's id, url, text (its lines joined by one space), n_shared (lines it shares with its neighbour) and
     n_deleted (lines that comparison deletes).
@@ -207,46 +208,29 @@ def main_texts(
     light = light.groupBy("page").agg(F.min("at").alias("at"), F.first("host").alias("host"), F.first("marks").alias("marks"))
     ranked = assign_keys(light.select("page", "host", "at.*", "marks"), "rank", ["host", "path", "address", "page"])
 
-    # Pages in blocks of ranks, each with the pages beside it.
+    # Pages in blocks of ranks, each with some pages before and behind it.
     ranked = ranked.withColumn("home", F.expr(f"rank div {block}"))
-    beside = F.array_distinct(F.array(*(F.expr(f"(rank + {step}) div {block}") for step in (-1, 0, 1))))
-    blocks = ranked.withColumn("block", F.explode(beside)).groupBy("block")
-    hosts = ranked.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.min("home").alias("a"), F.max("home").alias("z"))
-    hosts = hosts.select("host", "pages", F.explode(F.sequence("a", "z")).alias("block"))
-
-    def count(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        """Lines that some of the block's own pages hold, with their pages here and all pages of the host."""
-        total = dict(zip(right["host"].to_pylist(), right["pages"].to_pylist(), strict=True))
-        held: Counter = Counter()
-        for host, home, marks in zip(*(left[c].to_pylist() for c in ("host", "home", "marks")), strict=True):
-            if home == key[0].as_py():
-                held.update((host, m) for m in set(marks))
-        rows = [(h, m, n, total[h]) for (h, m), n in held.items()]
-        kinds = {"host": pa.string(), "mark": pa.int64(), "held": pa.int64(), "pages": pa.int64()}
-        return pa.table({c: pa.array([r[i] for r in rows], kind) for i, (c, kind) in enumerate(kinds.items())})
-
-    held = blocks.cogroup(hosts.groupBy("block")).applyInArrow(count, "host string, mark long, held long, pages long")
-    held = held.groupBy("host", "mark").agg(F.sum("held").alias("held"), F.max("pages").alias("pages"))
-    site = held.filter((F.col("held") >= SITE_PAGES) & (F.col("held") * 2 > F.col("pages"))).select("host", "mark")
-    site = site.join(hosts.select("host", "block"), "host").groupBy("block")
-
-    def compare(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        sites: dict[str, set[int]] = {}
-        for host, mark in zip(right["host"].to_pylist(), right["mark"].to_pylist(), strict=True):
-            sites.setdefault(host, set()).add(mark)
-        pages = {r["rank"]: r for r in left.to_pylist()}
+    around = F.sequence(F.expr(f"(rank - {margin}) div {block}"), F.expr(f"(rank + {margin}) div {block}"))
+
+    def compare(key, table):
+        pages = {r["rank"]: r for r in table.to_pylist()}
+        site = site_lines([(r["host"], r["marks"]) for r in pages.values()])
         out = []
         for rank, r in pages.items():
             if r["home"] != key[0].as_py():
                 continue
             near = [pages[n] for n in (rank - 1, rank + 1) if n in pages and pages[n]["host"] == r["host"]]
-            told = compared(r["path"], r["marks"], [(x["path"], x["marks"]) for x in near], sites.get(r["host"], set()))
+            told = compared(r["path"], r["marks"], [(x["path"], x["marks"]) for x in near], site[r["host"]])
             if told[0]:
                 out.append((r["page"], *told))
         kinds = {"page": pa.int64(), "shared": pa.list_(pa.int32()), "site": pa.list_(pa.int32()), "copy": pa.bool_()}
         return pa.table({c: pa.array([r[i] for r in out], kind) for i, (c, kind) in enumerate(kinds.items())})
 
-    told = blocks.cogroup(site).applyInArrow(compare, "page long, shared array<int>, site array<int>, copy boolean")
+    told = (
+        ranked.withColumn("block", F.explode(around))
+        .groupBy("block")
+        .applyInArrow(compare, "page long, shared array<int>, site array<int>, copy boolean")
+    )
 
     def join_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -270,6 +254,17 @@ def main_texts(
     return out.withColumnRenamed("page_id", id_col).withColumnRenamed("url", url_col)
 
 
+def site_lines(pages: list[tuple[str, list[int]]]) -> dict[str, set[int]]:
+    """For each host the lines that more than half of its pages hold, and three at least."""
+    count: Counter = Counter(host for host, _ in pages)
+    held = Counter((host, m) for host, marks in pages for m in set(marks))
+    out: dict[str, set[int]] = {host: set() for host in count}
+    for (host, m), n in held.items():
+        if n >= SITE_PAGES and 2 * n > count[host]:
+            out[host].add(m)
+    return out
+
+
 def compared(
     path: str, marks: list[int], sides: list[tuple[str, list[int]]], site: set[int]
 ) -> tuple[list[int], list[int], bool]:

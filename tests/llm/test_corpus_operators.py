@@ -348,8 +348,8 @@ def page_texts(spark, rows, **parameters):
     return {r.page_id: (r.text, r.n_deleted) for r in page_difference.main_texts(df, **parameters).collect()}
 
 
-@pytest.mark.parametrize("block", [1, 2, 1024])
-def test_lines_of_the_site_go(spark, block):
+@pytest.mark.parametrize(("block", "margin"), [(1, 9), (3, 9), (1024, 64)])
+def test_lines_of_the_site_go(spark, block, margin):
     menu = "".join(f"<div>Menu entry number {k} of the site</div>" for k in range(30))
     teaser = "<article><p>Teaser.</p></article>"
     quoted = "<p>A passage that two pages of the site quote.</p>"
@@ -357,7 +357,7 @@ def test_lines_of_the_site_go(spark, block):
     rows += [(10 + i, f"http://c.d/{i}.html", f"{menu}<p>Short {i}.</p>") for i in range(4)]
     rows += [(20 + i, f"http://e.f/{i}", f"<div>Home</div>{teaser}<div>The body of page {i}, which stands beside the teaser in a div.</div>") for i in range(4)]
     rows += [(30, "http://g.h/1", "<article><p>One line.</p></article>"), (31, None, "<p>No address</p>"), (32, "http://g.h/2", None)]
-    out = page_texts(spark, rows, block=block)
+    out = page_texts(spark, rows, block=block, margin=margin)
     for i in range(5):
         assert out[i] == (f"Story {i} of its own, with enough words." + (" A passage that two pages of the site quote." if i < 2 else ""), 1)
     for i in range(4):
