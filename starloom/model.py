@@ -454,6 +454,21 @@ FOREIGN_KEYS: tuple[ForeignKey, ...] = (
 )
 
 
+# The columns by which rows of a table are looked up, facts by most of their keys.
+LOOKUP_COLUMNS: dict[str, tuple[str, ...]] = {
+    "fact_internet_sales": (
+        "order_date_key", "customer_key", "product_key", "ship_date_key", "promotion_key", "currency_key",
+    ),
+    "fact_reseller_sales": (
+        "order_date_key", "reseller_key", "product_key", "ship_date_key", "employee_key", "promotion_key",
+    ),
+    "dim_customer": ("geography_key",),
+    "dim_reseller": ("geography_key",),
+    "dim_product": ("product_subcategory_key",),
+    "dim_product_subcategory": ("product_category_key",),
+}
+
+
 def parents_of(table: str) -> list[str]:
     return sorted({fk.parent for fk in FOREIGN_KEYS if fk.child == table})
 

@@ -16,12 +16,14 @@
     database = "dw"
     location = "hdfs:///dw"
     partition_facts_by = "order_date_key"
+    sort_facts_by = ["customer_key"]
     log = "run_log"               # optional: a table of the database that gets the numbers of each run
 
     [load]
     truncate = true               # false appends
     only_new = false
     as_of = 2024-01-29            # the day departments are valid on; today if absent
+    statistics = true             # analyze the loaded tables at the end
 
 Passwords are read from the environment variable that ``password_variable`` names, never from the file.
 """
@@ -49,8 +51,8 @@ EXIT_CODES = {"success": 0, "warnings": 1, "error": 2}
 SECTIONS = {
     "source": {"kind", "root", "url", "driver", "user", "password_variable", "fetch_size", "small", "splits"},
     "files": {"folder", "calendar", "territory", "first_day", "last_day"},
-    "target": {"database", "location", "partition_facts_by", "log"},
-    "load": {"truncate", "only_new", "as_of"},
+    "target": {"database", "location", "partition_facts_by", "sort_facts_by", "log"},
+    "load": {"truncate", "only_new", "as_of", "statistics"},
 }
 LOG_COLUMNS = "run_id string, started_at timestamp, outcome string, section string, name string, value bigint"
 
@@ -114,7 +116,11 @@ def files_of(spark: SparkSession, section: Mapping) -> dict[str, DataFrame]:
 
 def warehouse_of(spark: SparkSession, section: Mapping) -> Warehouse:
     return Warehouse(
-        spark, section.get("database", "dw"), section.get("location"), section.get("partition_facts_by")
+        spark,
+        section.get("database", "dw"),
+        section.get("location"),
+        section.get("partition_facts_by"),
+        section.get("sort_facts_by", ()),
     )
 
 
@@ -154,6 +160,7 @@ def run_job(spark: SparkSession, config: Mapping, check_only: bool = False) -> J
             truncate=load.get("truncate", False),
             as_of=load.get("as_of"),
             only_new=load.get("only_new", False),
+            statistics=load.get("statistics", False),
         )
     )
     result.seconds += took

@@ -71,6 +71,7 @@ def run(
     truncate: bool = False,
     as_of: datetime.date | None = None,
     only_new: bool = False,
+    statistics: bool = False,
 ) -> RunReport:
     """Build the whole warehouse from its sources and check it.
 
@@ -80,6 +81,7 @@ def run(
     stop the other.  ``extracted`` counts dimension rows in one job of their own and
     fact rows while they are written.  ``lost_values`` counts, for each survey
     column that lost any, texts cut to its width and values not of its type.
+    ``statistics`` has the loaded tables analyzed for the optimizer at the end.
     """
     creation = warehouse.create()
     extraction = extract_all(source, as_of, LOAD_EXTRACTS)
@@ -128,6 +130,8 @@ def run(
         lost[f"{r['table_name']}.{r['column_name']}"] = {c: r[c] for c in ("filled", "cut", "unreadable")}
         log.warning("%(table_name)s.%(column_name)s: of %(filled)d values %(cut)d were cut and %(unreadable)d left out", r.asDict())
     held = sum(r["row_count"] for r in report if r["table_name"] in FACTS) if only_new else sum(fact_rows.values())
+    if statistics:
+        warehouse.analyze()
     return RunReport(
         outcome=checks.run_outcome(held, intact, ok, len(report), sum(violations.values())),
         summary=checks.run_summary(dimension_rows, fact_rows),

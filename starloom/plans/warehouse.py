@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..model import DIMENSIONS, FACTS, TABLES, Table, conform, dependants_of, load_order
+from ..model import DIMENSIONS, FACTS, LOOKUP_COLUMNS, TABLES, Table, conform, dependants_of, load_order
 from ..operators.integrity import column_rule_report
 from ..operators.statistics import observe_matches
 from ..operators.surrogate import assign_keys, unique_row_keys
@@ -34,6 +34,8 @@ class Warehouse:
     ``location`` is where the database keeps its files; on a cluster it must be
     shared storage (the default is the session's warehouse folder).
     ``partition_facts_by`` stores facts in folders per value of that column.
+    ``sort_facts_by`` orders the rows inside each written file, so that readers
+    skip parts of files by the least and greatest values Parquet keeps of them.
     """
 
     def __init__(
@@ -42,11 +44,13 @@ class Warehouse:
         database: str = "dw",
         location: str | None = None,
         partition_facts_by: str | None = None,
+        sort_facts_by: Sequence[str] = (),
     ):
         self.spark = spark
         self.database = database
         self.location = location
         self.partition_facts_by = partition_facts_by
+        self.sort_facts_by = tuple(sort_facts_by)
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"
@@ -99,6 +103,39 @@ class Warehouse:
     def count(self, table: str) -> int:
         return self.read(table).count()
 
+    # -- statistics -------------------------------------------------------
+
+    def analyze(self, *tables: str) -> list[str]:
+        """Row counts of tables, and statistics of their keys and lookup columns, for the optimizer.
+
+        Without names every table that exists is analyzed, in one pass each; returns their names.
+        Loading rows makes Spark drop the statistics of a table.
+        """
+        names = [t for t in tables or TABLES if self.exists(t)]
+
+        def analyze_one(name: str) -> None:
+            columns = ", ".join([TABLES[name].key, *LOOKUP_COLUMNS.get(name, ())])
+            self.spark.sql(f"ANALYZE TABLE {self.name(name)} COMPUTE STATISTICS FOR COLUMNS {columns}")
+
+        self._side_by_side(names, analyze_one)
+        return names
+
+    def lookup_statistics(self) -> DataFrame:
+        """``table_name, column_name, distinct_values, null_values, least, greatest`` of analyzed lookup columns.
+
+        Distinct values are an estimate.  A column without statistics has nulls.
+        """
+        rows = []
+        for table, columns in LOOKUP_COLUMNS.items():
+            for column in columns if self.exists(table) else ():
+                told = self.spark.sql(f"DESCRIBE EXTENDED {self.name(table)} {column}").collect()
+                known = {r["info_name"]: int(r["info_value"]) for r in told if (r["info_value"] or "").lstrip("-").isdigit()}
+                rows.append((table, column, *(known.get(k) for k in ("distinct_count", "num_nulls", "min", "max"))))
+        return self.spark.createDataFrame(
+            rows,
+            "table_name string, column_name string, distinct_values bigint, null_values bigint, least bigint, greatest bigint",
+        )
+
     # -- writing --------------------------------------------------------
 
     def truncate(self, *tables: str) -> list[str]:
@@ -150,6 +187,10 @@ class Warehouse:
                 self._refuse_conflicts(ready, spec, keys)
         start = 1 if into_empty else self._next_key(spec)
         ready = self._with_keys(ready, spec, start, dealt)
+        if spec.is_fact and self.sort_facts_by:
+            # Rows of one folder stay together, so that Spark does not sort them again by it.
+            folder = [self.partition_facts_by] if self.partition_facts_by else []
+            ready = ready.sortWithinPartitions(*dict.fromkeys([*folder, *self.sort_facts_by]))
         rows = Observation()
         target = self.spark.read.table(self.name(table)).columns
         ready.observe(rows, F.count(F.lit(1)).alias("n")).select(*target).write.insertInto(self.name(table))

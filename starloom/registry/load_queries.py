@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import text_keys
-from ..model import DIMENSIONS, FACTS, TABLES
+from ..model import DIMENSIONS, FACTS, LOOKUP_COLUMNS, TABLES
 from ..operators import integrity
 from ..plans import checks, extracts
 from ..plans.run import run
@@ -363,6 +363,21 @@ def duplicate_lookup_keys(spark: SparkSession, folder: str) -> DataFrame:
     return checks.duplicate_lookup_keys(loaded_dimensions(spark, folder)[0].tables())
 
 
+@query(
+    " union all ".join(
+        f"select '{t}' as table_name, '{c}' as column_name, count(*) - count({c}) as null_values, "
+        f"cast(min({c}) as bigint) as least, cast(max({c}) as bigint) as greatest from {LOADED[t]}"
+        for t, columns in LOOKUP_COLUMNS.items()
+        for c in columns
+    )
+)
+def lookup_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """What the optimizer is told of the columns that rows are looked up by."""
+    warehouse = loaded_warehouse(spark, folder)[0]
+    warehouse.analyze(*LOOKUP_COLUMNS)
+    return warehouse.lookup_statistics().drop("distinct_values")
+
+
 def _full_run_sql() -> str:
     rows = []
     for name in TABLES:

@@ -3,11 +3,12 @@
 import datetime
 from types import SimpleNamespace
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from small_source import TODAY, source, territories
 
-from starloom.model import DIMENSIONS, TABLES
+from starloom.model import DIMENSIONS, LOOKUP_COLUMNS, TABLES
 from starloom.plans import checks
 from starloom.plans.dimensions import calendar_between, prepare
 from starloom.plans.extracts import extract_all
@@ -132,13 +133,24 @@ def test_full_run(spark, warehouse, files, rows):
         run(warehouse, source(spark), files, truncate=False, as_of=TODAY)
 
 
-def test_partitioned_facts(spark, tmp_path, files):
-    made = Warehouse(spark, "dw_split", str(tmp_path / "dw"), partition_facts_by="order_date_key")
-    report = run(made, source(spark), files, truncate=True, as_of=TODAY)
+def test_partitioned_and_sorted_facts_with_statistics(spark, tmp_path, files):
+    made = Warehouse(spark, "dw_split", str(tmp_path / "dw"), partition_facts_by="order_date_key", sort_facts_by=["product_key"])
+    report = run(made, source(spark), files, truncate=True, as_of=TODAY, statistics=True)
     assert not report.failures and report.summary["total_fact_records"] == 6
     fact = made.read("fact_internet_sales")
     assert fact.columns == TABLES["fact_internet_sales"].schema.names
     assert fact.agg(F.countDistinct("fact_internet_sales_key")).first()[0] == 4
+    stored = [pq.read_table(f, partitioning=None) for f in (tmp_path / "dw").rglob("fact_*/**/*.parquet")]
+    keys = [t["product_key"].to_pylist() for t in stored]
+    assert sum(map(len, keys)) == 6 and all(k == sorted(k) for k in keys)
+    told = {(r["table_name"], r["column_name"]): r for r in made.lookup_statistics().collect()}
+    assert set(told) == {(t, c) for t, columns in LOOKUP_COLUMNS.items() for c in columns}
+    seen = told["fact_internet_sales", "customer_key"]
+    assert (seen["distinct_values"], seen["null_values"]) == (2, 0) and seen["least"] <= seen["greatest"]
+    assert told["dim_product", "product_subcategory_key"]["null_values"] == 1
+    made.truncate("fact_internet_sales")
+    assert made.lookup_statistics().where("table_name = 'fact_internet_sales' and distinct_values > 0").count() == 0
+    assert made.analyze("dim_date", "no_such_table") == ["dim_date"]
     made.drop()
 
 
