@@ -4,10 +4,11 @@ Every text becomes a vector of four transformed statistics.  For each group of e
 minimum-covariance-determinant estimate is sought by concentration steps, as Spark aggregates over all its rows that
 pass the base rules: rank rows by Mahalanobis distance, take the closest half, estimate again, until no determinant
 falls.  Two starts (all rows; median and deviation) are taken, and after three steps the estimate of smaller
-determinant goes on alone.  It is scaled to normal rows, and estimated once more from all rows that lie near it.  Equal texts count once, so copies of one text
-cannot become the majority; every row is judged.  Near copies may be a third of a group that spreads about as wide as
-FLOORS; in wider groups so many near copies can have the smaller determinant, as in every such estimate.  Distances are ranked in fixed bins, the last of which counts by the share that
-completes the half; the statistics are whole numbers of ten-thousandths, so sums are exact and reruns agree.
+determinant goes on alone.  It is scaled to normal rows, and estimated once more from all rows that lie near it.
+Equal texts count once, so copies of one text cannot become the majority; every row is judged.  Near copies may be a
+third of a group that spreads about as wide as FLOORS; in wider groups so many near copies can have the smaller
+determinant, as in every such estimate.  Distances are ranked in fixed bins, the last of which counts by the share
+that completes the half; the statistics are whole numbers of ten-thousandths, so sums are exact and reruns agree.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ FALL, STEPS = 1e-3, 30  # steps end when no logarithm of a determinant falls by
 NEAR = 0.975  # of normal rows lie within the distance up to which rows enter the last estimate
 UNIT = 10_000
 BINS = 64  # for each doubling of the squared distance
+SALTS = 64  # tasks that a group is dealt over where the join with its estimate is no broadcast
 #: Standard deviations below which no estimate falls, in the order of VECTOR: in units of them, no direction's deviation
 #: is less than one.  They keep the estimate regular where nearly all rows agree (most texts have no symbol), and say
 #: which differences are too small to matter.  The last two have ranges of 0 to 1 and (after the base rules) 0 to 0.3.
@@ -219,13 +221,20 @@ def _distance(prefix: str = "") -> Column:
 def estimates(rows: DataFrame) -> DataFrame:
     """The estimate of each group of ``rows`` (lang_key, source_key and VECTOR)."""
     groups = ["lang_key", "source_key"]
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+
+    def told(estimate: DataFrame) -> DataFrame:
+        """Rows with the estimates of their group, not partitioned by it."""
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        return salted.join(estimate.withColumn("salt", salts), [*groups, "salt"])
+
     every = rows.groupBy(*groups).agg(*_sums()).withColumns({"start": F.lit(0), "share": F.lit(1.0)})
     now = write_through(
         every.mapInPandas(_from_sums, _ESTIMATE).union(_medians(rows).mapInPandas(_from_medians, _ESTIMATE)), "estimates"
     )
     for step in range(STEPS):
         bins = F.floor(F.log2(1 + F.greatest(_distance(), F.lit(0.0))) * BINS).alias("bin")
-        counted = rows.join(now, groups).groupBy(*groups, "start", bins).agg(*_sums())
+        counted = told(now).groupBy(*groups, "start", bins).agg(*_sums())
         w = Window.partitionBy(*groups, "start")
         half = F.least("_all", F.floor((F.col("_all") + len(VECTOR) + 1) / 2))
         near = (
@@ -248,7 +257,7 @@ def estimates(rows: DataFrame) -> DataFrame:
             now = write_through(now.withColumn("_r", F.row_number().over(best)).filter("_r = 1").drop("_r"), "estimates")
         elif step >= BOTH and now.join(before, [*groups, "start"]).filter(F.col("det") < F.col("_det") - FALL).isEmpty():
             break
-    close = rows.join(now, groups).filter(_distance() <= float(_chi_square(NEAR)))
+    close = told(now).filter(_distance() <= float(_chi_square(NEAR)))
     again = close.groupBy(*groups).agg(*_sums()).withColumns({"start": F.lit(0), "share": F.lit(NEAR)})
     return write_through(again.mapInPandas(_from_sums, _ESTIMATE), "estimates")
 
@@ -281,7 +290,7 @@ def judged(
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED * F.col("n_words"))
     rows = write_through(rows.withColumn("base_failed", failed).select("*", *_vector()), "statistics")
     passed = rows.filter("NOT base_failed").select("lang_key", "source_key", "text_key", *VECTOR).distinct()
-    found = estimates(write_through(passed.drop("text_key"), "texts")).drop("start", "det")
+    found = estimates(write_through(passed, "texts")).drop("start", "det")
     out = rows.join(found, ["lang_key", "source_key"], "left").withColumn(
         "distance", F.when(~F.col("base_failed"), _distance())
     )
