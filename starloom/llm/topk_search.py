@@ -118,7 +118,7 @@ def nearest(
             best = scores if best is None else _best(np.hstack([best, scores]), k)
         return best
 
-    def merge(key, lists: pa.Table) -> pa.Table:
+    def merge(key, lists):
         at = [pa.array([x.as_py()], pa.int32()) for x in key]
         return pa.table({"q": at[0], "c": at[1], "scores": pa.array([merged(lists).tobytes()], pa.binary())})
 
