@@ -34,7 +34,7 @@ FALL, STEPS = 1e-3, 30  # steps end when no logarithm of a determinant falls by
 NEAR = 0.975  # of normal rows lie within the distance up to which rows enter the last estimate
 UNIT = 10_000
 BINS = 64  # for each doubling of the squared distance
-SALTS = 64  # tasks that a group is dealt over where the join with its estimate is no broadcast
+GROUPS_A_FILE = 10_000  # of estimates: few files, so that Spark sees how small they are and broadcasts them
 #: Standard deviations below which no estimate falls, in the order of VECTOR: in units of them, no direction's deviation
 #: is less than one.  They keep the estimate regular where nearly all rows agree (most texts have no symbol), and say
 #: which differences are too small to matter.  The last two have ranges of 0 to 1 and (after the base rules) 0 to 0.3.
@@ -221,20 +221,17 @@ def _distance(prefix: str = "") -> Column:
 def estimates(rows: DataFrame) -> DataFrame:
     """The estimate of each group of ``rows`` (lang_key, source_key and VECTOR)."""
     groups = ["lang_key", "source_key"]
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    every = write_through(rows.groupBy(*groups).agg(*_sums()), "groups")
+    files = 1 + every.count() // GROUPS_A_FILE
 
-    def told(estimate: DataFrame) -> DataFrame:
-        """Rows with the estimates of their group, not partitioned by it."""
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        return salted.join(estimate.withColumn("salt", salts), [*groups, "salt"])
+    def stored(estimate: DataFrame) -> DataFrame:
+        return write_through(estimate.repartition(files), "estimates")
 
-    every = rows.groupBy(*groups).agg(*_sums()).withColumns({"start": F.lit(0), "share": F.lit(1.0)})
-    now = write_through(
-        every.mapInPandas(_from_sums, _ESTIMATE).union(_medians(rows).mapInPandas(_from_medians, _ESTIMATE)), "estimates"
-    )
+    every = every.withColumns({"start": F.lit(0), "share": F.lit(1.0)})
+    now = stored(every.mapInPandas(_from_sums, _ESTIMATE).union(_medians(rows).mapInPandas(_from_medians, _ESTIMATE)))
     for step in range(STEPS):
         bins = F.floor(F.log2(1 + F.greatest(_distance(), F.lit(0.0))) * BINS).alias("bin")
-        counted = told(now).groupBy(*groups, "start", bins).agg(*_sums())
+        counted = rows.join(now, groups).groupBy(*groups, "start", bins).agg(*_sums())
         w = Window.partitionBy(*groups, "start")
         half = F.least("_all", F.floor((F.col("_all") + len(VECTOR) + 1) / 2))
         near = (
@@ -251,15 +248,15 @@ def estimates(rows: DataFrame) -> DataFrame:
             F.first(half / F.col("_all")).alias("share"),
         )
         before = now.select(*groups, "start", F.col("det").alias("_det"))
-        now = write_through(subset.mapInPandas(_from_sums, _ESTIMATE), "estimates")
+        now = stored(subset.mapInPandas(_from_sums, _ESTIMATE))
         if step + 1 == BOTH:
             best = Window.partitionBy(*groups).orderBy("det", "start")
-            now = write_through(now.withColumn("_r", F.row_number().over(best)).filter("_r = 1").drop("_r"), "estimates")
+            now = stored(now.withColumn("_r", F.row_number().over(best)).filter("_r = 1").drop("_r"))
         elif step >= BOTH and now.join(before, [*groups, "start"]).filter(F.col("det") < F.col("_det") - FALL).isEmpty():
             break
-    close = told(now).filter(_distance() <= float(_chi_square(NEAR)))
+    close = rows.join(now, groups).filter(_distance() <= float(_chi_square(NEAR)))
     again = close.groupBy(*groups).agg(*_sums()).withColumns({"start": F.lit(0), "share": F.lit(NEAR)})
-    return write_through(again.mapInPandas(_from_sums, _ESTIMATE), "estimates")
+    return stored(again.mapInPandas(_from_sums, _ESTIMATE))
 
 
 def judged(
@@ -290,7 +287,7 @@ def judged(
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED * F.col("n_words"))
     rows = write_through(rows.withColumn("base_failed", failed).select("*", *_vector()), "statistics")
     passed = rows.filter("NOT base_failed").select("lang_key", "source_key", "text_key", *VECTOR).distinct()
-    found = estimates(write_through(passed, "texts")).drop("start", "det")
+    found = estimates(write_through(passed.drop("text_key"), "texts")).drop("start", "det")
     out = rows.join(found, ["lang_key", "source_key"], "left").withColumn(
         "distance", F.when(~F.col("base_failed"), _distance())
     )
