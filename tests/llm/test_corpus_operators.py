@@ -420,6 +420,35 @@ def test_toxicity(spark):
     assert len(held) > 100 and sum(r.predicted == (r.doc_id % 4 == 0) for r in held) >= 0.95 * len(held)
 
 
+def test_toxicity_learns_from_every_labelled_text(spark, monkeypatch):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("aeioubdklmnrst") for _ in range(rng.randint(2, 7))) for _ in range(300)]
+    rows = [(i, " ".join(rng.choices(words, k=12) + (["vileword"] if i % 3 == 0 else [])), "en") for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(1500)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity_cnn, "SHARD_TEXTS", 250)
+    monkeypatch.setattr(toxicity_cnn, "STEPS", 200)
+    used = []
+    fitted = toxicity_cnn._fitted
+
+    def seen(stored, shards):
+        used.append((stored.count(), stored.select("shard").distinct().count(), shards))
+        return fitted(stored, shards)
+
+    monkeypatch.setattr(toxicity_cnn, "_fitted", seen)
+    first, again = (toxicity_cnn.toxicity(docs, labels).orderBy("doc_id").collect() for _ in range(2))
+    assert first == again
+    held = [r for r in first if r.held_out]
+    assert used[0] == (1500 - len(held), 5, 5)
+    assert sum(r.predicted == (r.doc_id % 3 == 0) for r in held) >= 0.95 * len(held)
+
+
+def test_threshold_of_counted_scores():
+    cut = toxicity_cnn.best_threshold(np.array([1.0, 0.5, -1.0]), np.array([3, 0, 1]), np.array([3, 2, 9]))
+    assert cut == 0.75
+    assert toxicity_cnn.best_threshold(np.array([1.0]), np.array([2]), np.array([2])) == 0
+
+
 def test_longest_texts_are_steps_of_their_own():
     from starloom.llm import packed
 
