@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, Observation
 from ..model import DIMENSIONS, FACTS
 from ..operators.integrity import foreign_key_report
 from ..operators.statistics import HIGH_MISS_SHARE
+from ..session import passing_stages
 from ..sources.tables import Source
 from . import checks
 from .dimensions import prepare
 from .extracts import LOAD_EXTRACTS, Extraction, extract_all, extraction_report, lost_survey_values
-from .facts import FACT_PLANS, resolve_fact_from_source
+from .facts import FACT_PLANS, resolve_fact_from_source, resolve_facts_from_source
 from .warehouse import Warehouse
 
 log = logging.getLogger(__name__)
@@ -58,10 +59,12 @@ def load_warehouse(
     """Load dimensions, resolve facts against them, load facts; returns the rows of each.
 
     ``resolve`` gets the loaded dimensions: fact keys exist only after that load.
+    What it stages is removed once the facts are loaded.
     """
     dimension_rows = warehouse.load_dimensions(prepared, truncate, only_new)
-    facts = resolve(warehouse.tables())
-    return dimension_rows, warehouse.load_facts(facts, truncate, observations, only_new, failures)
+    with passing_stages(warehouse.spark):
+        facts = resolve(warehouse.tables())
+        return dimension_rows, warehouse.load_facts(facts, truncate, observations, only_new, failures)
 
 
 def run(
@@ -150,7 +153,17 @@ def run(
 
 
 def _resolve_facts(source: Source, dims: Frames, failures: dict[str, str]) -> dict[str, DataFrame]:
-    """Facts that can be planned; the cause of each that cannot goes to ``failures``."""
+    """Facts that can be planned; the cause of each that cannot goes to ``failures``.
+
+    Facts are resolved together.  Where that fails they are planned one by one,
+    so that only the one at fault is lost.
+    """
+    together = [FACT_PLANS[name] for name in FACTS if name not in failures]
+    if len(together) > 1:
+        try:
+            return resolve_facts_from_source(source, dims, together)
+        except Exception as error:  # one fact must not stop the other
+            log.warning("facts cannot be resolved together: %s", error)
     facts = {}
     for name in FACTS:
         if name in failures:

@@ -1,8 +1,11 @@
 """Extracts, dimensions, facts and flat files on a tiny source."""
 
 import datetime
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from small_source import TODAY, source, territories
 
 from starloom.plans import extracts
@@ -28,6 +31,7 @@ from starloom.plans.facts import (
     incomplete_rows,
     resolve_fact,
     resolve_fact_from_source,
+    resolve_facts_from_source,
 )
 from starloom.sources import FrameSource, JdbcSource, ParquetSource, read_calendar_csv, read_flat_dimensions, read_tables
 
@@ -222,6 +226,33 @@ def test_both_ways_to_a_fact_agree(oltp, dims, rows, plan, extract):
     assert build_fact(oltp, dims, plan).count() > 0
 
 
+def test_facts_resolved_together_read_lines_once(spark, oltp, dims, rows):
+    """Lines that repeat, have no product, an unknown order or no order find in both facts what they find alone."""
+    asked = []
+
+    def reads(name, table):
+        def build():
+            asked.append(name)
+            return table()
+
+        return build
+
+    lines = oltp.table("Sales.SalesOrderDetail")
+    odd = {c: F.lit(None).cast(lines.schema[c].dataType) for c in ("SalesOrderID", "ProductID")}
+    more = [lines, lines.limit(2), *[lines.limit(1).withColumn(c, v) for c, v in odd.items()]]
+    tables = {n: (lambda n=n: oltp.table(n)) for n in oltp.names}
+    tables["Sales.SalesOrderDetail"] = lambda: reduce(DataFrame.unionByName, more)
+    tables["Sales.SalesOrderHeader"] = lambda: oltp.table("Sales.SalesOrderHeader").union(oltp.table("Sales.SalesOrderHeader").limit(1))
+    counting = FrameSource(spark, {n: reads(n, build) for n, build in tables.items()})
+    together = resolve_facts_from_source(counting, dims, [INTERNET_SALES, RESELLER_SALES])
+    assert asked.count("Sales.SalesOrderDetail") == 1
+    for plan in (INTERNET_SALES, RESELLER_SALES):
+        alone, shared = resolve_fact_from_source(counting, dims, plan), together[plan.table]
+        assert sorted((f.name, f.dataType.simpleString()) for f in alone.schema) == sorted((f.name, f.dataType.simpleString()) for f in shared.schema)
+        found = rows(alone, *sorted(alone.columns))
+        assert found and rows(shared, *sorted(alone.columns)) == found
+
+
 def test_fact_needs_order_number(oltp, dims):
     with pytest.raises(ValueError, match="SalesOrderNumber"):
         fact_internet_sales(extracts.extract_fact_internet_sales(oltp).drop("SalesOrderNumber"), dims)
