@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from starloom import registry  # noqa: E402
 from starloom.registry.loaded import new_warehouse, prepared_dimensions  # noqa: E402
 from starloom.registry.source_views import sales_source  # noqa: E402
-from starloom.plans.facts import FACT_PLANS, resolve_fact_from_source  # noqa: E402
+from starloom.plans.facts import FACT_PLANS, resolve_facts_from_source  # noqa: E402
 from starloom.plans.run import load_warehouse  # noqa: E402
 from starloom.session import local_session  # noqa: E402
 
@@ -60,7 +60,7 @@ def main() -> None:
         load_warehouse(
             new_warehouse(spark, "bench"),
             prepared_dimensions(spark, FOLDER),
-            lambda dims: {n: resolve_fact_from_source(source, dims, p) for n, p in FACT_PLANS.items()},
+            lambda dims: resolve_facts_from_source(source, dims, list(FACT_PLANS.values())),
             truncate=True,
         )
 
