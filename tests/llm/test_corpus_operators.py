@@ -3,6 +3,7 @@
 import hashlib
 import html
 import itertools
+import os
 import random
 import re
 from collections import Counter
@@ -11,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -78,6 +80,23 @@ def test_suffix_dedup(spark, often):
     assert all(r.n_bytes - len(r.kept) == sum(s.end - s.start for s in r.spans) for r in out)
 
 
+def test_suffix_dedup_moves_little_more_than_its_text(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("etaoinshrdlu", weights=range(12, 0, -1), k=rng.randint(2, 9))) for _ in range(4000)]
+    passages = [" ".join(rng.choices(words, k=150)) for _ in range(60)]
+    rows = [(k, " ".join(rng.choices(words, k=300)) + rng.choice(passages)) for k in range(1200)] + [(None, "tail"), (7, None)]
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def stored():
+        found = files.getAllFiles().mkString("\n").split("\n")
+        return {x: os.path.getsize(x) for x in found if x.endswith(".data") and os.path.exists(x)}
+
+    df, before = spark.createDataFrame(rows, "doc_id long, text string"), stored()
+    out = suffix_dedup.remove_repeated_bytes(df).select("doc_id", "n_bytes").collect()
+    assert sorted(map(repr, out)) == sorted(repr(Row(doc_id=k, n_bytes=len(x or ""))) for k, x in rows)
+    assert sum(n for x, n in stored().items() if x not in before) < 0.85 * sum(len(x or "") for _, x in rows)
+
+
 def test_interval_expansion_finds_every_distinct_string():
     rng = random.Random(1)
     for _ in range(20):
