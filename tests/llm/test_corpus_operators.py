@@ -6,6 +6,7 @@ import itertools
 import os
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -462,6 +463,54 @@ def test_toxicity_learns_from_every_labelled_text(spark, monkeypatch):
     assert sum(r.predicted == (r.doc_id % 3 == 0) for r in held) >= 0.95 * len(held)
 
 
+@pytest.mark.parametrize("shard_texts", [120, 1000])
+def test_toxicity_network_is_fitted_on_rows_that_calibrate_too(spark, monkeypatch, shard_texts):
+    """A word of which every place is in a row that the first fit leaves out is learned."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("aeioubdklmnrst") for _ in range(rng.randint(2, 7))) for _ in range(200)]
+    rows = [(i, " ".join([*rng.choices(words, k=12), *["vileword"] * (i % 3 == 0)]), "en") for i in range(700)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(700)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity_cnn, "SHARD_TEXTS", shard_texts)
+    monkeypatch.setattr(toxicity_cnn, "STEPS", 100)
+
+    def frame(x):
+        return spark.createDataFrame(x, "doc_id long, text string, lang string")
+
+    columns = "doc_id", "text", "lang", "toxic"
+    stored, shards = toxicity_cnn._labelled(frame(rows), labels, *columns)
+    assert (shards > 1) == (shard_texts == 120)
+    left_out = set()
+    for k in range(shards):
+        left_out |= set(sorted(r.draw for r in stored.filter(F.col("shard") == k).collect())[4::5])
+    draws = {r.doc_id: r.draw for r in labels.select("doc_id", F.xxhash64("doc_id", F.lit(toxicity_cnn.SEED)).alias("draw")).collect()}
+    rows = [(i, x + " zzyzx" * (draws[i] in left_out), "en") for i, x, _ in rows]
+    net, _, _ = toxicity_cnn.load(toxicity_cnn.trained(frame(rows), labels, *columns))
+    slots = toxicity_cnn.tokens_of(pa.chunked_array([pa.array(["zzyzx vileword qqqqqqqq"])]))[0]
+    assert net.embedding[slots].any(axis=1).tolist() == [True, True, False]
+
+
+@pytest.mark.parametrize("n", [3, 40])
+def test_toxicity_scores_a_text_alone(n):
+    rng = np.random.default_rng(n)
+    net = toxicity_cnn.Network(rng)
+    texts = pa.chunked_array([pa.array([" ".join(rng.choice(list("abcdefgh"), k)) for k in [0, 1, 2, *rng.integers(1, 30, n)]])])
+    tokens = toxicity_cnn.tokens_of(texts)
+    alone = [toxicity_cnn._logits(net, toxicity_cnn._slice(tokens, np.array([i])))[0] for i in range(len(texts))]
+    assert np.allclose(toxicity_cnn._logits(net, tokens), alone, atol=1e-6)
+    assert np.allclose(net.forward(*tokens, winners=True)[3], net.forward(*tokens)[3])
+
+
+def test_toxicity_of_few_rows_uses_all_epochs(spark, monkeypatch):
+    """Of fewer than five rows none is kept back, so none speaks for fewer epochs."""
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5][:4]
+    docs = spark.createDataFrame([(i, f"good day {'vileword' * (i == ids[0])}", "en") for i in ids], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i == ids[0])) for i in ids], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity_cnn, "SEEN", 1)
+    monkeypatch.setattr(toxicity_cnn, "STEPS", 40)
+    told = {r.doc_id: r.predicted for r in toxicity_cnn.toxicity(docs, labels).collect()}
+    assert told == {i: int(i == ids[0]) for i in ids}
+
+
 def test_threshold_of_counted_scores():
     cut = toxicity_cnn.best_threshold(np.array([1.0, 0.5, -1.0]), np.array([3, 0, 1]), np.array([3, 2, 9]))
     assert cut == 0.75
